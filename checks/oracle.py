@@ -236,9 +236,6 @@ retrieved AS (SELECT rec.id, rank, key, url, ranked.title, similarity FROM rec J
 _RECORDS = f"SELECT id, serial_number, input_title, input_title AS title FROM ({D.RECORD_TITLES})"
 ORACLE["t10_retrieve_candidates"] = f"""WITH {brute_force(_RECORDS, D.ITEM_TITLES, 0.6)}
   SELECT id, rank, key, url, title, round(similarity, 3) AS similarity FROM retrieved"""
-ORACLE["t10_retrieve_passages"] = f"""WITH {brute_force('SELECT item_id AS id, text AS title FROM benchmark',
-  'SELECT doc_id AS key, source AS url, text AS title FROM documents', 0.4)}
-  SELECT id, rank, key, round(similarity, 3) AS similarity FROM retrieved"""
 ORACLE["t11_match_summary"] = f"""WITH {brute_force(_RECORDS, D.ITEM_TITLES, 0.6)}
   SELECT r.id, serial_number, input_title, CASE WHEN b.id IS NULL THEN 'Not available everywhere' ELSE b.url END AS matched_url,
     CASE WHEN b.id IS NULL THEN 'Not Available' ELSE 'Available' END AS status

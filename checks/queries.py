@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import derive as D
 from shelfmark.functions import html as H
 from shelfmark.functions import packs, text
-from shelfmark.functions.similarity import score_long_pairs, tfidf_cosine, tokens
+from shelfmark.functions.similarity import score_long_pairs, tokens
 from shelfmark.operators import candidates as C
 from shelfmark.operators import consolidate as K
 from shelfmark.operators import matching as M
@@ -387,8 +387,9 @@ def t01(spark, sf_dir):
 @query("t01_long_text_cosine")
 def t01_long(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("other"))
-    scored = score_long_pairs(docs.select("doc_id", "text").join(following, "doc_id"), "doc_id", "text", "other")
+    own = docs.select("doc_id", tokens("text").alias("a"))
+    following = docs.select((F.col("doc_id") - 1).alias("doc_id"), tokens("text").alias("b"))
+    scored = score_long_pairs(own.join(following, "doc_id"), ["doc_id"], "a", "b")
     return scored.select("doc_id", F.round("similarity", 3).alias("similarity"))
 
 
@@ -457,16 +458,6 @@ def t10(spark, sf_dir):
     return found.select("id", "rank", "key", "url", "title", F.round("similarity", 3).alias("similarity"))
 
 
-@query("t10_retrieve_passages")
-def t10_passages(spark, sf_dir):
-    records = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("title"))
-    documents = read(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("key"), F.col("source").alias("url"), F.col("text").alias("title")
-    )
-    found = C.retrieve(records, documents, threshold=0.4, key_size=1)
-    return found.select("id", "rank", "key", F.round("similarity", 3).alias("similarity"))
-
-
 @query("t11_match_summary")
 def t11(spark, sf_dir):
     records, items = retrieval_inputs(spark, sf_dir)

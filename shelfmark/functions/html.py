@@ -5,17 +5,14 @@ element, the text after the tag is split at tags of the same name and folded by
 the element closes. Each rule is guarded by a substring test, so a page pays only for the
 markup it has, and no page leaves the JVM.
 
-The functions take and return SQL expression text, for ``F.expr``: the folds are nested lambdas,
-and one parse is far quicker than thousands of driver calls.
+The functions take and return SQL expression text, for ``F.expr``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from html.entities import name2codepoint
-from itertools import count
 
-Sql = str
+from shelfmark.functions.sqltext import Sql, each, let, lit, raw, var
 
 # Element ids and classes, keys and phrases that define the results.
 PRICE_IDS = ["priceblock_ourprice", "priceblock_dealprice"]
@@ -46,29 +43,6 @@ _MARK = "chr(1)"
 # HTML 4 entity names as one literal: "name<3>character" entries joined by <2>.
 _ENTITIES = "\x02".join(f"{name}\x03{chr(code)}" for name, code in (*name2codepoint.items(), ("apos", 39)))
 
-_names = count()
-
-
-def raw(pattern: str) -> Sql:
-    """A pattern as a raw SQL literal; its single quotes become regex escapes."""
-    return "r'" + pattern.replace("'", r"\x27") + "'"
-
-
-def lit(value: str) -> Sql:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def each(function: str, array: Sql, body: Callable[[Sql], Sql]) -> Sql:
-    """``transform`` or ``filter`` with a lambda variable of its own name."""
-    v = f"v{next(_names)}"
-    return f"{function}({array}, {v} -> {body(v)})"
-
-
-def let(value: Sql, body: Callable[[Sql], Sql]) -> Sql:
-    """Evaluate ``value`` once for use in ``body``."""
-    return f"get({each('transform', f'array({value})', body)}, 0)"
-
-
 def strip(text: Sql) -> Sql:
     return f"regexp_replace({text}, {raw(rf'(?U)^{_SPACE}+|{_SPACE}+' + chr(92) + 'z')}, '')"
 
@@ -164,7 +138,7 @@ def inner(markup: Sql, open_tag: str) -> Sql:
 
     def cut(pieces: Sql) -> Sql:
         # Walk the tags of that name from depth 1; the element ends where the depth reaches 0.
-        a, p = f"v{next(_names)}", f"v{next(_names)}"
+        a, p = var(), var()
         depth = f"({a}.depth + CASE WHEN startswith({p}, '</') THEN -1 WHEN startswith({p}, '<') THEN 1 ELSE 0 END)"
         fold = (
             f"aggregate({pieces}, named_struct('i', 0, 'depth', 1, 'stop', -1), ({a}, {p}) -> named_struct("
@@ -269,7 +243,7 @@ def list_items(markup: Sql, in_list: bool = False) -> Sql:
     )
 
     def with_depth(pieces: Sql) -> Sql:
-        a, p = f"v{next(_names)}", f"v{next(_names)}"
+        a, p = var(), var()
         typed = f"{each('transform', pieces, lambda x: f'named_struct({chr(39)}text{chr(39)}, {x}, {chr(39)}kind{chr(39)}, {kind(x)})')}"
         depth = f"({a}.depth + CASE {p}.kind WHEN 'list' THEN 1 WHEN 'list end' THEN -1 ELSE 0 END)"
         row = f"named_struct('text', {p}.text, 'depth', {depth}, 'kind', {p}.kind)"
@@ -280,7 +254,7 @@ def list_items(markup: Sql, in_list: bool = False) -> Sql:
         )
 
     def item_texts(rows: Sql) -> Sql:
-        r, i = f"v{next(_names)}", f"v{next(_names)}"
+        r, i = var(), var()
         ends = each(
             "transform", f"slice({rows}, {i} + 2, size({rows}))",
             lambda x: f"({x}.depth = {r}.depth AND {x}.kind IN ('item', 'end'))"

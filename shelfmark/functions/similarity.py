@@ -12,76 +12,84 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.sqltext import Sql, each, let, lit, raw, var
+
 # Squared idf of a token that occurs in only one of the two texts.
 LONE_WEIGHT = (math.log(1.5) + 1.0) ** 2
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
-def tokens(text: Column, stop_words: list[str] | None = None) -> Column:
+def tokens_sql(text: Sql, stop_words: list[str] | None = None) -> Sql:
     """Lower-cased word tokens of two or more characters; null text has none."""
-    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
+    found = f"regexp_extract_all(lower(coalesce({text}, '')), {raw(TOKEN)}, 0)"
     if stop_words:
-        found = F.filter(found, lambda t: ~t.isin(list(stop_words)))
+        words = ", ".join(lit(w) for w in stop_words)
+        found = each("filter", found, lambda t: f"{t} NOT IN ({words})")
     return found
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def tokens(text: str, stop_words: list[str] | None = None) -> Column:
+    return F.expr(tokens_sql(text, stop_words))
 
 
-def _pairs(left: Column, right: Column) -> Column:
-    """Number of equal pairs between two token arrays, i.e. the dot product of their counts."""
-    return F.aggregate(
-        left,
-        F.lit(0).cast("bigint"),
-        lambda acc, t: acc + F.size(F.filter(right, lambda u: u == t)).cast("bigint"),
-    )
+def _cosine_sql(dot: Sql, sq_a: Sql, shared_a: Sql, sq_b: Sql, shared_b: Sql) -> Sql:
+    # From integer sums: tf products, squared tf, and squared tf over the shared tokens.
+    norm = lambda sq, shared: f"({shared} + ({sq} - {shared}) * {LONE_WEIGHT!r}D)"
+    return f"CASE WHEN {dot} > 0 THEN {dot} / sqrt({norm(sq_a, shared_a)} * {norm(sq_b, shared_b)}) ELSE 0D END"
+
 
+def _equal_pairs(left: Sql, right: Sql) -> Sql:
+    # Number of equal pairs between two token arrays: the dot product of their counts.
+    acc, t = var(), var()
+    return f"aggregate({left}, 0L, ({acc}, {t}) -> {acc} + size({each('filter', right, lambda u: f'{u} = {t}')}))"
 
-def cosine_from_sums(dot: Column, sq_a: Column, shared_sq_a: Column, sq_b: Column, shared_sq_b: Column) -> Column:
-    """Cosine from integer sums: tf products, squared tf, and squared tf over shared tokens."""
-    norm_a = shared_sq_a + (sq_a - shared_sq_a) * F.lit(LONE_WEIGHT)
-    norm_b = shared_sq_b + (sq_b - shared_sq_b) * F.lit(LONE_WEIGHT)
-    return F.when(dot > 0, dot / F.sqrt(norm_a * norm_b)).otherwise(F.lit(0.0))
 
+def cosine_of_sizes(size_a: Sql, size_b: Sql, shared: Sql) -> Sql:
+    """Score of two texts without repeated tokens, from their sizes and the number shared."""
+    return _cosine_sql(shared, size_a, shared, size_b, shared)
 
-def tfidf_cosine(a: Column, b: Column) -> Column:
-    """Score two token arrays. Pass plain columns or lambda variables, not tokenizing expressions."""
-    shared = F.size(F.array_intersect(a, b)).cast("bigint")
-    size_a, size_b = F.size(a).cast("bigint"), F.size(b).cast("bigint")
-    no_repeats = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
-    in_both = lambda side, other: F.filter(side, lambda t: F.array_contains(other, t))
-    general = cosine_from_sums(
-        _pairs(a, b), _pairs(a, a), _pairs(in_both(a, b), a), _pairs(b, b), _pairs(in_both(b, a), b)
+
+def cosine_general(a: Sql, b: Sql) -> Sql:
+    """Score of two token arrays, repeats allowed; quadratic, for title-sized texts."""
+    within = lambda side, other: each("filter", side, lambda t: f"array_contains({other}, {t})")
+    return _cosine_sql(
+        _equal_pairs(a, b), _equal_pairs(a, a), _equal_pairs(within(a, b), a),
+        _equal_pairs(b, b), _equal_pairs(within(b, a), b),
     )
-    simple = let(shared, lambda n: cosine_from_sums(n, size_a, n, size_b, n))
-    return F.when(no_repeats, simple).otherwise(general)
 
 
-def score_long_pairs(pairs: DataFrame, key: str, left: str, right: str, score: str = "similarity") -> DataFrame:
-    """Score one pair of long texts per row; returns ``key`` and the score.
+def cosine_sql(a: Sql, b: Sql) -> Sql:
+    """Score of two token arrays given as plain column or lambda variable names."""
+    simple = let(
+        f"size(array_intersect({a}, {b}))", lambda n: cosine_of_sizes(f"size({a})", f"size({b})", n)
+    )
+    distinct = f"size(array_distinct({a})) = size({a}) AND size(array_distinct({b})) = size({b})"
+    return f"CASE WHEN {distinct} THEN {simple} ELSE {cosine_general(a, b)} END"
+
 
-    The texts move once, by pair key; both aggregates then reuse that partitioning.
+def tfidf_cosine(a: str, b: str) -> Column:
+    """Score of two token array columns."""
+    return F.expr(cosine_sql(a, b))
+
+
+def score_long_pairs(pairs: DataFrame, keys: list[str], left: str, right: str, score: str = "similarity") -> DataFrame:
+    """Score one pair of token arrays per row; returns ``keys`` and the score.
+
+    Linear in the text length. The arrays move once, by pair key; both aggregates then reuse
+    that partitioning.
     """
-    side = lambda text, n: F.transform(
-        tokens(F.col(text)), lambda t: F.struct(t.alias("token"), F.lit(n).alias("side"))
-    )
+    side = lambda words, n: each("transform", words, lambda t: f"named_struct('token', {t}, 'side', {n})")
     counts = (
-        pairs.repartition(key)
-        .select(key, F.explode_outer(F.concat(side(left, 1), side(right, 2))).alias("t"))
-        .groupBy(key, F.col("t.token").alias("token"))
+        pairs.repartition(*keys)
+        .select(*keys, F.expr(f"explode_outer(concat({side(left, 1)}, {side(right, 2)}))").alias("t"))
+        .groupBy(*keys, F.col("t.token").alias("token"))
         .agg(F.count_if(F.col("t.side") == 1).alias("a"), F.count_if(F.col("t.side") == 2).alias("b"))
     )
-    both = (F.col("a") > 0) & (F.col("b") > 0)
-    sums = counts.groupBy(key).agg(
-        F.sum(F.col("a") * F.col("b")).alias("dot"),
-        F.sum(F.col("a") * F.col("a")).alias("sq_a"),
-        F.sum(F.col("b") * F.col("b")).alias("sq_b"),
-        F.sum(F.when(both, F.col("a") * F.col("a")).otherwise(0)).alias("shared_a"),
-        F.sum(F.when(both, F.col("b") * F.col("b")).otherwise(0)).alias("shared_b"),
-    )
-    c = F.col
-    return sums.select(
-        key, cosine_from_sums(c("dot"), c("sq_a"), c("shared_a"), c("sq_b"), c("shared_b")).alias(score)
+    sums = counts.groupBy(*keys).agg(
+        F.expr("sum(a * b)").alias("dot"),
+        F.expr("sum(a * a)").alias("sq_a"),
+        F.expr("sum(b * b)").alias("sq_b"),
+        F.expr("sum(IF(b > 0, a * a, 0))").alias("shared_a"),
+        F.expr("sum(IF(a > 0, b * b, 0))").alias("shared_b"),
     )
+    return sums.select(*keys, F.expr(_cosine_sql("dot", "sq_a", "shared_a", "sq_b", "shared_b")).alias(score))

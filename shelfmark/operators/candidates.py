@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.similarity import LONE_WEIGHT, let, tfidf_cosine, tokens
+from shelfmark.functions.similarity import LONE_WEIGHT, cosine_general, cosine_of_sizes, score_long_pairs, tokens_sql
+from shelfmark.functions.sqltext import Sql, each, let
 from shelfmark.functions.text import or_not_available
 from shelfmark.operators.consolidate import first_per_key
 from shelfmark.schema import CANDIDATE_RANKS
+from shelfmark.session import ensure_checkpoint_dir
 
 
 def candidate_array(ranks: list[int] = CANDIDATE_RANKS) -> Column:
@@ -51,84 +53,132 @@ def collect_candidates(records: DataFrame, candidates: DataFrame, key: str = "id
     return records.join(grouped, key, "left").withColumn("candidates", F.coalesce(typed, empty))
 
 
-def title_bag(title: Column) -> Column:
+def title_bag(title: str) -> Column:
     """Sorted tokens as text: titles with equal bags score the same against everything."""
-    return F.array_join(F.array_sort(tokens(title)), " ")
+    return F.expr(f"array_join(sort_array({tokens_sql(title)}), ' ')")
 
 
-def _ordered_tokens(bags: DataFrame) -> DataFrame:
-    # Per bag, its (df, token, tf) from rare to frequent. A frequent token makes a skewed key in
-    # the join with the vocabulary; adaptive execution splits that partition.
-    exploded = bags.select("bag", F.explode(F.split("bag", " ")).alias("token"))
-    counted = exploded.groupBy("bag", "token").agg(F.count("*").cast("int").alias("tf"))
+def _number_bags(bags: DataFrame) -> DataFrame:
+    """Distinct bags with an id and their terms (document frequency, token, count), rare to frequent.
+
+    A frequent token makes a skewed key in the join with the vocabulary; adaptive execution splits
+    that partition. The result is written to the checkpoint folder: every step below reads it, and
+    the ids must not change on a retry.
+    """
+    words = bags.select("bag", F.explode(F.split("bag", " ")).alias("token"))
+    counted = words.groupBy("bag", "token").agg(F.count("*").cast("int").alias("tf"))
     vocabulary = counted.groupBy("token").agg(F.count("*").alias("df"))
-    return counted.join(vocabulary, "token").groupBy("bag").agg(
-        F.array_sort(F.collect_list(F.struct("df", "token", "tf"))).alias("terms")
+    terms = counted.join(vocabulary, "token").groupBy("bag").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token", "tf"))).alias("terms")
+    )
+    ensure_checkpoint_dir(bags.sparkSession)
+    return (
+        bags.join(terms, "bag")
+        .select(
+            F.monotonically_increasing_id().alias("bag_id"), "bag", "is_record", "is_item", "terms",
+            F.expr("aggregate(terms, 0, (n, x) -> n + x.tf)").alias("length"),
+        )
+        .checkpoint()
     )
 
 
-def _keys(threshold: float, key_size: int):
-    # Two bags scoring >= threshold share tokens worth at least `share` of the squared counts of
-    # each side. Under one global token order, their rarest shared tokens therefore lie where
-    # enough weight is left to the right; only such tokens (or token pairs) become keys.
+def _share(threshold: float) -> float:
+    # A pair scoring >= threshold shares tokens worth at least this part of each side's sum of
+    # squared counts: by Cauchy-Schwarz the score is at most sqrt(s / (s + LONE_WEIGHT * (1 - s))).
     t2 = threshold * threshold
-    share = t2 * LONE_WEIGHT / (1 - t2 + t2 * LONE_WEIGHT) - 1e-9
-    weight = lambda x: (x["tf"] * x["tf"]).cast("double")
-    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + weight(x))
-
-    def with_rest(terms: Column) -> Column:
-        return F.transform(
-            terms,
-            lambda x, i: F.struct(
-                x["token"].alias("token"),
-                weight(x).alias("w"),
-                total(F.slice(terms, i + 1, F.size(terms))).alias("rest"),
-                i.alias("i"),
-            ),
-        )
+    return t2 * LONE_WEIGHT / (1 - t2 + t2 * LONE_WEIGHT) - 1e-9
 
-    def keys(rows: Column) -> Column:
-        need = F.get(rows, F.lit(0))["rest"] * share
 
-        def body(need: Column) -> Column:
-            if key_size == 1:
-                return F.transform(F.filter(rows, lambda x: x["rest"] >= need), lambda x: x["token"])
-            alone = F.transform(F.filter(rows, lambda x: x["w"] >= need), lambda x: x["token"])
-            pairs = F.flatten(F.transform(rows, lambda x: F.transform(
-                F.filter(rows, lambda y: (y["i"] > x["i"]) & (x["w"] + y["rest"] >= need)),
-                lambda y: F.concat_ws(" ", x["token"], y["token"]),
-            )))
-            return F.concat(alone, pairs)
+def _token_keys(threshold: float) -> Sql:
+    """Single-token keys of a bag: its rarest tokens, up to where too little weight is left.
 
-        return let(need, body)
-
-    return lambda terms: let(with_rest(terms), keys)
+    Terms are in one global order, so the first shared token has the weight of all shared tokens
+    from itself on, and that is at least the needed share.
+    """
+    spare = f"(aggregate(terms, 0L, (n, x) -> n + x.tf * x.tf) * {1 - _share(threshold)!r}D)"
+    taken = let(spare, lambda s: (
+        f"aggregate(terms, named_struct('before', 0L, 'n', 0), (acc, x) -> named_struct("
+        f"'before', acc.before + x.tf * x.tf, 'n', acc.n + CASE WHEN acc.before <= {s} THEN 1 ELSE 0 END)).n"
+    ))
+    return f"transform(slice(terms, 1, {taken}), x -> x.token)"
 
 
-def similar_bags(bags: DataFrame, threshold: float, key_size: int = 2) -> DataFrame:
-    """All (record bag, item bag) pairs scoring at least ``threshold``: exact, no frequency cap.
+def _pair_keys(threshold: float) -> Sql:
+    """Token-pair keys: the two rarest shared tokens, the first worth ``w`` and the rest to its right.
 
-    ``bags`` has ``bag, is_record, is_item``. A pair is emitted only under the key made of its
-    rarest shared tokens, so each appears once without a distinct. ``key_size=2`` keeps key groups
-    small for titles; use 1 for longer texts, where token pairs would be many.
+    A single token worth enough can be all that is shared, and is a key on its own.
     """
-    terms = _ordered_tokens(bags)
-    words = F.flatten(F.transform("terms", lambda x: F.array_repeat(x["token"], x["tf"])))
-    keyed = bags.join(terms, "bag").select(
-        "bag", "is_record", "is_item", words.alias("words"),
-        F.explode(_keys(threshold, key_size)(F.col("terms"))).alias("key"),
+    weighed = let(
+        each("transform", "terms", lambda x: f"named_struct('token', {x}.token, 'w', {x}.tf * {x}.tf)"),
+        lambda xs: (
+            f"transform({xs}, (x, i) -> named_struct('token', x.token, 'w', x.w, 'i', i,"
+            f" 'rest', aggregate(slice({xs}, i + 1, size({xs})), 0, (acc, y) -> acc + y.w)))"
+        ),
     )
-    left = keyed.filter("is_record").select("key", F.col("bag").alias("record_bag"), F.col("words").alias("a"))
-    right = keyed.filter("is_item").select("key", F.col("bag").alias("item_bag"), F.col("words").alias("b"))
-    shared_key = F.array_join(F.slice(F.array_intersect("a", "b"), 1, key_size), " ")
-    scored = left.join(right, "key").filter(shared_key == F.col("key")).select(
-        "record_bag", "item_bag", tfidf_cosine(F.col("a"), F.col("b")).alias("similarity")
+
+    def keys(xs: Sql) -> Sql:
+        need = f"(get({xs}, 0).rest * {_share(threshold)!r}D)"
+        alone = each("transform", each("filter", xs, lambda x: f"{x}.w >= {need}"), lambda x: f"{x}.token")
+        second = lambda x: each("filter", xs, lambda y: f"{y}.i > {x}.i AND {x}.w + {y}.rest >= {need}")
+        both = each("transform", xs, lambda x: each("transform", second(x), lambda y: f"concat({x}.token, ' ', {y}.token)"))
+        return f"concat({alone}, flatten({both}))"
+
+    return let(weighed, keys)
+
+
+def _short_pairs(bags: DataFrame, threshold: float) -> DataFrame:
+    # Keyed by token pairs and scored in the join. A pair meets under several keys but is scored
+    # only under its rarest shared tokens, and is 0 elsewhere, so no distinct is needed.
+    words = "flatten(transform(terms, x -> array_repeat(x.token, x.tf))) AS words"
+    keyed = bags.selectExpr(
+        "bag_id", "is_record", "is_item", words, "size(terms) = length AS plain",
+        f"explode({_pair_keys(threshold)}) AS key",
+    )
+    left = keyed.filter("is_record").selectExpr("key", "bag_id AS record_bag", "words AS a", "plain AS plain_a")
+    right = keyed.filter("is_item").selectExpr("key", "bag_id AS item_bag", "words AS b", "plain AS plain_b")
+    score = let("array_intersect(a, b)", lambda shared: (
+        f"CASE WHEN array_join(slice({shared}, 1, 2), ' ') <> key THEN 0D"
+        f" WHEN plain_a AND plain_b THEN {cosine_of_sizes('size(a)', 'size(b)', f'size({shared})')}"
+        f" ELSE {cosine_general('a', 'b')} END"
+    ))
+    return left.join(right, "key").select("record_bag", "item_bag", F.expr(score).alias("similarity"))
+
+
+def _long_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
+    # Pairs with a long side: single-token keys carry ids only, and the texts join in afterwards.
+    keyed = bags.selectExpr(
+        "bag_id", "is_record", "is_item", f"length > {longest} AS is_long",
+        f"explode({_token_keys(threshold)}) AS key",
+    )
+    left = keyed.filter("is_record").selectExpr("key", "bag_id AS record_bag", "is_long")
+    right = keyed.filter("is_item").selectExpr("key", "bag_id AS item_bag", "is_long")
+    from_long = left.filter("is_long").drop("is_long").join(right.drop("is_long"), "key")
+    to_long = left.filter("NOT is_long").drop("is_long").join(right.filter("is_long").drop("is_long"), "key")
+    met = from_long.unionByName(to_long).select("record_bag", "item_bag").distinct()
+    texts = bags.selectExpr("bag_id", "split(bag, ' ') AS words")
+    joined = met.join(texts.selectExpr("bag_id AS record_bag", "words AS a"), "record_bag").join(
+        texts.selectExpr("bag_id AS item_bag", "words AS b"), "item_bag"
     )
-    return scored.filter(F.col("similarity") >= threshold)
+    return score_long_pairs(joined, ["record_bag", "item_bag"], "a", "b")
+
+
+def similar_bags(bags: DataFrame, threshold: float, longest: int = 32) -> DataFrame:
+    """All (record bag, item bag) pairs scoring at least ``threshold`` (above 0): exact, no frequency cap.
+
+    ``bags`` comes from :func:`_number_bags`. Bags of up to ``longest`` tokens meet under token
+    pairs, which keeps key groups small; their number is quadratic in the length, so longer bags
+    take single-token keys.
+    """
+    short = _short_pairs(bags.filter(F.col("length") <= longest), threshold)
+    if bags.filter(F.col("length") > longest).isEmpty():
+        found = short
+    else:
+        found = short.unionByName(_long_pairs(bags, threshold, longest))
+    return found.filter(F.col("similarity") >= threshold)
 
 
 def retrieve(
-    records: DataFrame, catalog: DataFrame, threshold: float = 0.6, top: int = 5, key_size: int = 2
+    records: DataFrame, catalog: DataFrame, threshold: float = 0.6, top: int = 5, longest: int = 32
 ) -> DataFrame:
     """The ``top`` catalog items per record with title similarity >= ``threshold``.
 
@@ -136,18 +186,20 @@ def retrieve(
     then key, as if every record were scored against the whole catalog. Work is done once per
     distinct bag of tokens, so repeated titles on either side add no pairs.
     """
-    rec = records.select("id", title_bag(F.col("title")).alias("bag")).filter("bag != ''")
-    items = catalog.select("key", "url", "title", title_bag(F.col("title")).alias("bag")).filter("bag != ''")
+    rec = records.select("id", title_bag("title").alias("bag")).filter("bag != ''")
+    items = catalog.select("key", "url", "title", title_bag("title").alias("bag")).filter("bag != ''")
     sides = rec.select("bag", F.lit(True).alias("r"), F.lit(False).alias("i")).unionByName(
         items.select("bag", F.lit(False).alias("r"), F.lit(True).alias("i"))
     )
-    bags = sides.groupBy("bag").agg(F.bool_or("r").alias("is_record"), F.bool_or("i").alias("is_item"))
-    pairs = similar_bags(bags, threshold, key_size)
+    bags = _number_bags(
+        sides.groupBy("bag").agg(F.bool_or("r").alias("is_record"), F.bool_or("i").alias("is_item"))
+    )
+    pairs = similar_bags(bags, threshold, longest)
     # No record can use more than the first `top` items of one bag.
-    firsts = first_per_key(items, ["bag"], ["key"], top).withColumnRenamed("bag", "item_bag")
+    firsts = first_per_key(items, ["bag"], ["key"], top)
+    firsts = firsts.join(bags.filter("is_item").selectExpr("bag", "bag_id AS item_bag"), "bag").drop("bag")
     ranked = first_per_key(
         pairs.join(firsts, "item_bag"), ["record_bag"], [F.desc("similarity"), "key"], top, rank_name="rank"
     )
-    return rec.join(ranked.withColumnRenamed("record_bag", "bag"), "bag").select(
-        "id", "rank", "key", "url", "title", "similarity"
-    )
+    numbered = rec.join(bags.filter("is_record").selectExpr("bag", "bag_id AS record_bag"), "bag")
+    return numbered.join(ranked, "record_bag").select("id", "rank", "key", "url", "title", "similarity")

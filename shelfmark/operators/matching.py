@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.similarity import tfidf_cosine, tokens
+from shelfmark.functions.similarity import cosine_sql, tfidf_cosine, tokens, tokens_sql
+from shelfmark.functions.sqltext import each
 from shelfmark.functions.text import local_stamp, strip
 from shelfmark.operators.candidates import candidate_array, wide_to_long
 from shelfmark.schema import AVAILABLE, CANDIDATE_RANKS, MATCH_COLUMNS, NO_MATCH_URL, NOT_AVAILABLE
@@ -19,25 +20,16 @@ def score_candidates(df: DataFrame, stop_words: list[str] | None = None) -> Data
     A missing title is not scored (null); the text "Not Available" is a title like any other.
     Everything happens inside the row: no shuffle, and the record's title is tokenized once.
     """
-    prepared = df.withColumns({
-        "__own": tokens(strip(F.col("input_title")), stop_words),
-        "__theirs": F.transform(
-            "candidates",
-            lambda c: F.struct(
-                c["rank"].alias("rank"), c["url"].alias("url"),
-                F.when(c["title"] != "", tokens(c["title"], stop_words)).alias("words"),
-            ),
-        ),
-    })
-    own = F.col("__own")
-    scored = F.transform(
-        "__theirs",
-        lambda c: F.struct(
-            c["rank"].alias("rank"), c["url"].alias("url"),
-            F.when(c["words"].isNotNull(), tfidf_cosine(own, c["words"])).alias("similarity"),
-        ),
-    )
-    return prepared.withColumn("scored", scored).drop("__own", "__theirs")
+    words = each("transform", "candidates", lambda c: (
+        f"named_struct('rank', {c}.rank, 'url', {c}.url,"
+        f" 'words', CASE WHEN {c}.title <> '' THEN {tokens_sql(f'{c}.title', stop_words)} END)"
+    ))
+    prepared = df.withColumns({"__own": tokens("input_title", stop_words), "__theirs": F.expr(words)})
+    scored = each("transform", "__theirs", lambda c: (
+        f"named_struct('rank', {c}.rank, 'url', {c}.url,"
+        f" 'similarity', CASE WHEN {c}.words IS NOT NULL THEN {cosine_sql('__own', f'{c}.words')} END)"
+    ))
+    return prepared.withColumn("scored", F.expr(scored)).drop("__own", "__theirs")
 
 
 def best_of(scored: Column) -> Column:
@@ -102,9 +94,9 @@ def score_long(records: DataFrame, candidates: DataFrame, key: str = "id") -> Da
     """Scores of long candidate rows: ``key, rank, url, similarity`` with unscored rows dropped."""
     titled = candidates.filter(F.col("title") != "")
     joined = titled.join(records.select(key, "input_title"), key).withColumns({
-        "__a": tokens(strip(F.col("input_title"))), "__b": tokens(F.col("title"))
+        "__a": tokens("input_title"), "__b": tokens("title")
     })
-    return joined.select(key, "rank", "url", tfidf_cosine(F.col("__a"), F.col("__b")).alias("similarity"))
+    return joined.select(key, "rank", "url", tfidf_cosine("__a", "__b").alias("similarity"))
 
 
 def scores_to_wide(scored: DataFrame, key: str = "id") -> DataFrame:
