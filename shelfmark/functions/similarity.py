@@ -64,7 +64,7 @@ def cosine_sql(a: Sql, b: Sql) -> Sql:
         f"size(array_intersect({a}, {b}))", lambda n: cosine_of_sizes(f"size({a})", f"size({b})", n)
     )
     distinct = f"size(array_distinct({a})) = size({a}) AND size(array_distinct({b})) = size({b})"
-    return f"CASE WHEN {distinct} THEN {simple} ELSE {cosine_general(a, b)} END"
+    return f"CASE WHEN {distinct} THEN coalesce({simple}, 0D) ELSE {cosine_general(a, b)} END"
 
 
 def tfidf_cosine(a: str, b: str) -> Column:

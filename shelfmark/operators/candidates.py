@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from shelfmark.functions.similarity import LONE_WEIGHT, cosine_general, cosine_of_sizes, score_long_pairs, tokens_sql
 from shelfmark.functions.sqltext import Sql, each, let
 from shelfmark.functions.text import or_not_available
-from shelfmark.operators.consolidate import first_per_key
+from shelfmark.operators.consolidate import first_per_key, with_row_number
 from shelfmark.schema import CANDIDATE_RANKS
-from shelfmark.session import ensure_checkpoint_dir
 
 
 def candidate_array(ranks: list[int] = CANDIDATE_RANKS) -> Column:
@@ -59,24 +58,26 @@ def title_bag(title: str) -> Column:
 
 
 def _number_bags(bags: DataFrame) -> DataFrame:
-    """Distinct bags with an id and their terms (document frequency, token, count), rare to frequent.
+    """Distinct bags with an id and their terms (token number, count), rare tokens first.
 
-    A frequent token makes a skewed key in the join with the vocabulary; adaptive execution splits
-    that partition. The result is written to the checkpoint folder: every step below reads it, and
-    the ids must not change on a retry.
+    Tokens are numbered by document frequency, so that number is also the global order. A frequent
+    token makes a skewed key in the join with the vocabulary; adaptive execution splits that
+    partition. The result is written to the checkpoint folder: every step below reads it, and the
+    ids must not change on a retry.
     """
     words = bags.select("bag", F.explode(F.split("bag", " ")).alias("token"))
-    counted = words.groupBy("bag", "token").agg(F.count("*").cast("int").alias("tf"))
-    vocabulary = counted.groupBy("token").agg(F.count("*").alias("df"))
+    counted = words.groupBy("bag", "token").agg(F.count("*").alias("tf"))
+    vocabulary = with_row_number(
+        counted.groupBy("token").agg(F.count("*").alias("df")), ["df", "token"], "token_id"
+    )
     terms = counted.join(vocabulary, "token").groupBy("bag").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token", "tf"))).alias("terms")
+        F.sort_array(F.collect_list(F.struct(F.col("token_id").alias("token"), "tf"))).alias("terms")
     )
-    ensure_checkpoint_dir(bags.sparkSession)
     return (
         bags.join(terms, "bag")
         .select(
             F.monotonically_increasing_id().alias("bag_id"), "bag", "is_record", "is_item", "terms",
-            F.expr("aggregate(terms, 0, (n, x) -> n + x.tf)").alias("length"),
+            F.expr("aggregate(terms, 0L, (n, x) -> n + x.tf)").alias("length"),
         )
         .checkpoint()
     )
@@ -106,21 +107,23 @@ def _token_keys(threshold: float) -> Sql:
 def _pair_keys(threshold: float) -> Sql:
     """Token-pair keys: the two rarest shared tokens, the first worth ``w`` and the rest to its right.
 
-    A single token worth enough can be all that is shared, and is a key on its own.
+    A single token worth enough can be all that is shared: a key with 0 for the second.
     """
     weighed = let(
         each("transform", "terms", lambda x: f"named_struct('token', {x}.token, 'w', {x}.tf * {x}.tf)"),
         lambda xs: (
             f"transform({xs}, (x, i) -> named_struct('token', x.token, 'w', x.w, 'i', i,"
-            f" 'rest', aggregate(slice({xs}, i + 1, size({xs})), 0, (acc, y) -> acc + y.w)))"
+            f" 'rest', aggregate(slice({xs}, i + 1, size({xs})), 0L, (acc, y) -> acc + y.w)))"
         ),
     )
+    key = lambda x, y: f"named_struct('first', {x}, 'second', {y})"
 
     def keys(xs: Sql) -> Sql:
         need = f"(get({xs}, 0).rest * {_share(threshold)!r}D)"
-        alone = each("transform", each("filter", xs, lambda x: f"{x}.w >= {need}"), lambda x: f"{x}.token")
+        heavy = each("filter", xs, lambda x: f"{x}.w >= {need}")
+        alone = each("transform", heavy, lambda x: key(f"{x}.token", "0L"))
         second = lambda x: each("filter", xs, lambda y: f"{y}.i > {x}.i AND {x}.w + {y}.rest >= {need}")
-        both = each("transform", xs, lambda x: each("transform", second(x), lambda y: f"concat({x}.token, ' ', {y}.token)"))
+        both = each("transform", xs, lambda x: each("transform", second(x), lambda y: key(f"{x}.token", f"{y}.token")))
         return f"concat({alone}, flatten({both}))"
 
     return let(weighed, keys)
@@ -129,19 +132,21 @@ def _pair_keys(threshold: float) -> Sql:
 def _short_pairs(bags: DataFrame, threshold: float) -> DataFrame:
     # Keyed by token pairs and scored in the join. A pair meets under several keys but is scored
     # only under its rarest shared tokens, and is 0 elsewhere, so no distinct is needed.
-    words = "flatten(transform(terms, x -> array_repeat(x.token, x.tf))) AS words"
+    words = "flatten(transform(terms, x -> array_repeat(x.token, CAST(x.tf AS INT)))) AS words"
     keyed = bags.selectExpr(
         "bag_id", "is_record", "is_item", words, "size(terms) = length AS plain",
         f"explode({_pair_keys(threshold)}) AS key",
-    )
-    left = keyed.filter("is_record").selectExpr("key", "bag_id AS record_bag", "words AS a", "plain AS plain_a")
-    right = keyed.filter("is_item").selectExpr("key", "bag_id AS item_bag", "words AS b", "plain AS plain_b")
+    ).withColumns({"first": F.col("key.first"), "second": F.col("key.second")})
+    left = keyed.filter("is_record").selectExpr("first", "second", "bag_id AS record_bag", "words AS a", "plain AS plain_a")
+    right = keyed.filter("is_item").selectExpr("first", "second", "bag_id AS item_bag", "words AS b", "plain AS plain_b")
     score = let("array_intersect(a, b)", lambda shared: (
-        f"CASE WHEN array_join(slice({shared}, 1, 2), ' ') <> key THEN 0D"
+        f"CASE WHEN {shared}[0] <> first OR coalesce(get({shared}, 1), 0L) <> second THEN 0D"
         f" WHEN plain_a AND plain_b THEN {cosine_of_sizes('size(a)', 'size(b)', f'size({shared})')}"
         f" ELSE {cosine_general('a', 'b')} END"
     ))
-    return left.join(right, "key").select("record_bag", "item_bag", F.expr(score).alias("similarity"))
+    # Not nullable, so that a filter on the score does not evaluate it again for a null check.
+    met = left.join(right, ["first", "second"])
+    return met.select("record_bag", "item_bag", F.expr(f"coalesce({score}, 0D)").alias("similarity"))
 
 
 def _long_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
@@ -155,7 +160,7 @@ def _long_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
     from_long = left.filter("is_long").drop("is_long").join(right.drop("is_long"), "key")
     to_long = left.filter("NOT is_long").drop("is_long").join(right.filter("is_long").drop("is_long"), "key")
     met = from_long.unionByName(to_long).select("record_bag", "item_bag").distinct()
-    texts = bags.selectExpr("bag_id", "split(bag, ' ') AS words")
+    texts = bags.selectExpr("bag_id", "flatten(transform(terms, x -> array_repeat(x.token, CAST(x.tf AS INT)))) AS words")
     joined = met.join(texts.selectExpr("bag_id AS record_bag", "words AS a"), "record_bag").join(
         texts.selectExpr("bag_id AS item_bag", "words AS b"), "item_bag"
     )

@@ -66,15 +66,14 @@ def dedup_keep_first(df: DataFrame) -> DataFrame:
     return first_per_key(df, ["Product_Name", "Supplier"], ORDER_COLUMNS)
 
 
-def with_dense_ids(df: DataFrame, order: list[str], name: str = "Product_ID", prefix: str = "product_") -> DataFrame:
+def with_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Number rows 1..n in the given total order without a single-task sort.
 
     Rows are range-partitioned and sorted, then written to the shared checkpoint folder: that
     fixes which row sits where, so a lost executor cannot renumber. The driver handles only one
     row count per partition.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
     numbered = placed.select(
         "*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at")
@@ -84,10 +83,15 @@ def with_dense_ids(df: DataFrame, order: list[str], name: str = "Product_ID", pr
     for part in range(max(counts, default=-1) + 1):
         offsets.append(total)
         total += counts.get(part, 0)
-    start = F.get(F.array(*[F.lit(o).cast("bigint") for o in offsets or [0]]), F.col("__part"))
-    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))  # low 33 bits count rows in a partition
-    number = (start + within + 1).cast("string")
-    return numbered.withColumn(name, F.concat(F.lit(prefix), number)).drop("__part", "__at")
+    starts = ", ".join(f"{o}L" for o in offsets or [0])
+    # The low 33 bits of the increasing id count the rows of one partition.
+    number = F.expr(f"get(array({starts}), __part) + (__at & {(1 << 33) - 1}L) + 1")
+    return numbered.withColumn(name, number).drop("__part", "__at")
+
+
+def with_dense_ids(df: DataFrame, order: list[str], name: str = "Product_ID", prefix: str = "product_") -> DataFrame:
+    numbered = with_row_number(df, order, name)
+    return numbered.withColumn(name, F.concat(F.lit(prefix), F.col(name).cast("string")))
 
 
 def consolidate(catalogs: dict[str, DataFrame], unit_suppliers: tuple[str, ...] = ()) -> DataFrame:

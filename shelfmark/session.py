@@ -18,6 +18,8 @@ def local_session(cores: int | str = 8, app: str = "shelfmark", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small inputs feed costly expressions here: keep their partitions apart.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
