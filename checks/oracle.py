@@ -178,7 +178,7 @@ LONG = " UNION ALL ".join(
 )
 TITLE_PAIRS = f"SELECT id, rank, url, input_title AS a, title AS b FROM ({LONG}) WHERE title <> ''"
 SCORED = scores(TITLE_PAIRS, "id, rank, url")
-BEST = """best AS (SELECT id, arg_max(url, (similarity, -rank)) AS url, max(similarity) AS similarity FROM scored
+BEST = """best AS (SELECT id, arg_max(url, (round(similarity, 9), -rank)) AS url, max(similarity) AS similarity FROM scored
   WHERE similarity > 0 GROUP BY id)"""
 _WIDE_SCORES = ", ".join(
     f"max(CASE WHEN rank = {r} THEN round(similarity, 3) END) AS url_{r}_similarity" for r in range(1, 6)

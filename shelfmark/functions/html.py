@@ -236,21 +236,22 @@ def list_items(markup: Sql, in_list: bool = False) -> Sql:
     An item runs to its own close tag, to the next item of the same list, or to the end of its
     list, whichever comes first.
     """
-    starts = lambda p, tag: f"rlike({p}, {raw(rf'^(?i)<{tag}[' + chr(92) + 's/>]')})"
-    kind = lambda p: (
-        f"CASE WHEN {starts(p, 'li')} THEN 'item' WHEN {starts(p, '/li')} THEN 'end'"
-        f" WHEN {starts(p, '(?:ul|ol)')} THEN 'list' WHEN {starts(p, '/(?:ul|ol)')} THEN 'list end' ELSE '' END"
-    )
+    starts = lambda p, tag: f"rlike({p}, {raw(f'^(?i)<{tag}' + r'[\s/>]')})"
+    kinds = [("li", "item"), ("/li", "end"), ("ul", "ul"), ("ol", "ol"), ("/ul", "ul end"), ("/ol", "ol end")]
+    kind = lambda p: "CASE " + " ".join(f"WHEN {starts(p, tag)} THEN '{k}'" for tag, k in kinds) + " ELSE '' END"
 
     def with_depth(pieces: Sql) -> Sql:
         a, p = var(), var()
-        typed = f"{each('transform', pieces, lambda x: f'named_struct({chr(39)}text{chr(39)}, {x}, {chr(39)}kind{chr(39)}, {kind(x)})')}"
-        depth = f"({a}.depth + CASE {p}.kind WHEN 'list' THEN 1 WHEN 'list end' THEN -1 ELSE 0 END)"
-        row = f"named_struct('text', {p}.text, 'depth', {depth}, 'kind', {p}.kind)"
-        empty = "CAST(array() AS ARRAY<STRUCT<text: STRING, depth: INT, kind: STRING>>)"
+        typed = each("transform", pieces, lambda x: f"named_struct('text', {x}, 'kind', {kind(x)})")
+        step = lambda names: f"CASE {p}.kind " + " ".join(
+            f"WHEN '{n}' THEN 1 WHEN '{n} end' THEN -1" for n in names
+        ) + " ELSE 0 END"
+        depth, uls = f"({a}.depth + {step(['ul', 'ol'])})", f"({a}.uls + {step(['ul'])})"
+        row = f"named_struct('text', {p}.text, 'depth', {depth}, 'uls', {uls}, 'kind', {p}.kind)"
+        empty = "CAST(array() AS ARRAY<STRUCT<text: STRING, depth: INT, uls: INT, kind: STRING>>)"
         return (
-            f"aggregate({typed}, named_struct('depth', 0, 'rows', {empty}),"
-            f" ({a}, {p}) -> named_struct('depth', {depth}, 'rows', concat({a}.rows, array({row})))).rows"
+            f"aggregate({typed}, named_struct('depth', 0, 'uls', 0, 'rows', {empty}), ({a}, {p}) ->"
+            f" named_struct('depth', {depth}, 'uls', {uls}, 'rows', concat({a}.rows, array({row})))).rows"
         )
 
     def item_texts(rows: Sql) -> Sql:
@@ -258,13 +259,13 @@ def list_items(markup: Sql, in_list: bool = False) -> Sql:
         ends = each(
             "transform", f"slice({rows}, {i} + 2, size({rows}))",
             lambda x: f"({x}.depth = {r}.depth AND {x}.kind IN ('item', 'end'))"
-            f" OR ({x}.depth < {r}.depth AND {x}.kind = 'list end')",
+            f" OR ({x}.depth < {r}.depth AND {x}.kind IN ('ul end', 'ol end'))",
         )
         body = let(
             f"CAST(array_position({ends}, true) AS INT)",
             lambda stop: f"slice({rows}, {i} + 1, CASE WHEN {stop} = 0 THEN size({rows}) ELSE {stop} END)",
         )
-        wanted = f"{r}.kind = 'item'" + (f" AND {r}.depth > 0" if in_list else "")
+        wanted = f"{r}.kind = 'item'" + (f" AND {r}.uls > 0" if in_list else "")
         texts = each("transform", body, lambda x: f"{x}.text")
         items = f"transform({rows}, ({r}, {i}) -> CASE WHEN {wanted} THEN array_join({texts}, '') END)"
         return each("filter", items, lambda x: f"{x} IS NOT NULL")

@@ -203,8 +203,7 @@ def retrieve(
     # No record can use more than the first `top` items of one bag.
     firsts = first_per_key(items, ["bag"], ["key"], top)
     firsts = firsts.join(bags.filter("is_item").selectExpr("bag", "bag_id AS item_bag"), "bag").drop("bag")
-    ranked = first_per_key(
-        pairs.join(firsts, "item_bag"), ["record_bag"], [F.desc("similarity"), "key"], top, rank_name="rank"
-    )
+    by_score = F.round("similarity", 9).desc()  # equal scores can differ in their last bits
+    ranked = first_per_key(pairs.join(firsts, "item_bag"), ["record_bag"], [by_score, "key"], top, rank_name="rank")
     numbered = rec.join(bags.filter("is_record").selectExpr("bag", "bag_id AS record_bag"), "bag")
     return numbered.join(ranked, "record_bag").select("id", "rank", "key", "url", "title", "similarity")

@@ -32,18 +32,26 @@ def score_candidates(df: DataFrame, stop_words: list[str] | None = None) -> Data
     return prepared.withColumn("scored", F.expr(scored)).drop("__own", "__theirs")
 
 
+# Scores this close are ties: equal scores can differ in their last bits.
+TIE_DIGITS = 9
+
+
 def best_of(scored: Column) -> Column:
     """Highest similarity above zero, the lowest rank on ties; null when nothing scores."""
     entries = F.transform(
         F.filter(scored, lambda c: c["similarity"] > 0),
-        lambda c: F.struct(c["similarity"].alias("similarity"), (-c["rank"]).alias("order"), c["url"].alias("url")),
+        lambda c: F.struct(
+            F.round(c["similarity"], TIE_DIGITS).alias("score"), (-c["rank"]).alias("order"),
+            c["url"].alias("url"), c["similarity"].alias("similarity"),
+        ),
     )
     return F.array_max(entries)
 
 
 def best_candidate(scored: DataFrame, key: str = "id") -> DataFrame:
     """The same choice over long rows ``key, rank, url, similarity``."""
-    best = F.max(F.struct("similarity", (-F.col("rank")).alias("order"), "url"))
+    score = F.round("similarity", TIE_DIGITS)
+    best = F.max(F.struct(score.alias("score"), (-F.col("rank")).alias("order"), "url", "similarity"))
     return scored.filter("similarity > 0").groupBy(key).agg(best.alias("b")).select(
         key, F.col("b.url").alias("best_url"), F.col("b.similarity").alias("best_similarity")
     )

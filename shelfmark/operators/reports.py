@@ -120,20 +120,13 @@ def report_tables(products: DataFrame, share: bool = False) -> dict[str, DataFra
 def _result_text(table: DataFrame, top: int) -> DataFrame:
     # Row-shaped results can grow with the data: the report shows the top rows and how many there
     # are in all, while report_tables keeps them whole.
-    value = table.columns[-1]
-    order = [F.col(value).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in table.columns[:-1]]]
-    entry = F.struct(*table.columns)
+    *names, value = table.columns
+    order = [(-F.col(value)).alias("__by"), *names]
     shown = table.orderBy(*order).limit(top).agg(
-        F.collect_list(F.struct(F.col(value).alias("__by"), entry.alias("row"))).alias("rows")
+        F.sort_array(F.collect_list(F.struct(*order, F.struct(*table.columns).alias("__row")))).alias("rows")
     )
     size = table.agg(F.count("*").alias("total"))
-    ordered = F.array_sort(
-        F.col("rows"),
-        lambda a, b: F.when(a["__by"] > b["__by"], -1).when(a["__by"] < b["__by"], 1)
-        .when(F.to_json(a["row"]) < F.to_json(b["row"]), -1)
-        .when(F.to_json(a["row"]) > F.to_json(b["row"]), 1).otherwise(0),
-    )
-    rows = F.transform(ordered, lambda r: r["row"])
+    rows = F.transform("rows", lambda r: r["__row"])
     keep_nulls = {"ignoreNullFields": "false"}
     whole = F.to_json("rows", keep_nulls)
     part = F.to_json(F.struct(F.col("total").alias("total_rows"), F.col("rows").alias("top_rows")), keep_nulls)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.functions.text import strip
 from shelfmark.schema import CANDIDATE_RANKS, WIDE_CANDIDATE_SCHEMA
 
 # Field names of the keyed layout.
@@ -21,31 +22,37 @@ KEYED_SCHEMA = T.StructType(
 _CORRUPT = "_corrupt_record"
 
 
+def _raw_text(spark: SparkSession, path: str, whole: bool) -> DataFrame:
+    text = spark.read.text(path, wholetext=whole).select(
+        F.input_file_name().alias("file_name"), F.col("value").alias("raw")
+    )
+    return text.filter(strip(F.col("raw")) != "")
+
+
 def read_records(
     spark: SparkSession, path: str, schema: T.StructType = WIDE_CANDIDATE_SCHEMA, lines: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Good records and quarantined raw text. ``lines`` reads one record per line and splits files."""
-    full = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    df = spark.read.json(
-        path, schema=full, multiLine=not lines, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT
-    )
-    # A record count over the corrupt column alone is not allowed, so keep the whole row in the plan.
-    good = df.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
-    bad = df.filter(F.col(_CORRUPT).isNotNull()).select(
-        F.input_file_name().alias("file_name"), F.col(_CORRUPT).alias("raw")
-    )
-    return good, bad
+    """Good records and quarantined raw text: bad lines, or whole files that do not parse.
+
+    ``lines`` reads one record per line and splits files; otherwise a file is one list of records.
+    """
+    text = _raw_text(spark, path, whole=not lines)
+    if lines:
+        full = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
+        parsed = text.withColumn("r", F.from_json("raw", full, {"columnNameOfCorruptRecord": _CORRUPT}))
+        is_good = F.col(f"r.{_CORRUPT}").isNull()
+        good = parsed.filter(is_good)
+    else:
+        parsed = text.withColumn("list", F.from_json("raw", T.ArrayType(schema), {"mode": "PERMISSIVE"}))
+        is_good = F.col("list").isNotNull()
+        good = parsed.filter(is_good).select(F.explode("list").alias("r"))
+    return good.select(*[f"r.{name}" for name in schema.names]), parsed.filter(~is_good).select("file_name", "raw")
 
 
 def read_keyed_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Records of an object keyed by serial, in the wide layout, and files that do not parse."""
-    text = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("file_name"), F.col("value").alias("raw")
-    )
-    text = text.filter(F.trim("raw") != "")
-    parsed = text.withColumn(
-        "entries", F.from_json("raw", T.MapType(T.StringType(), KEYED_SCHEMA), {"mode": "PERMISSIVE"})
-    )
+    kind = T.MapType(T.StringType(), KEYED_SCHEMA)
+    parsed = _raw_text(spark, path, whole=True).withColumn("entries", F.from_json("raw", kind, {"mode": "PERMISSIVE"}))
     rows = parsed.filter(F.col("entries").isNotNull()).select(F.explode("entries").alias("key", "r"))
     wide = rows.select(
         F.col("key").alias("id"),
