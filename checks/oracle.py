@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from checks import derive as D
 from checks.queries import STOP_WORDS
+from shelfmark.operators.reports import REPORTS
 
 ORACLE: dict[str, str] = {}
 
@@ -355,10 +356,27 @@ ORACLE["l02_preview"] = f"WITH {CATALOG} {CLEAN} FROM clean ORDER BY source, p_p
 ORACLE["e1_catalog_to_report"] = f"""WITH {CATALOG} SELECT "Packaging_Type", "Supplier", count(*) AS rows,
   CAST(sum(CASE WHEN "Packaging_Type" = 'CTN' AND "Units_Per_Carton" <> 0 THEN "Units_Per_Carton" ELSE 1 END) AS BIGINT) AS units,
   CAST(0 AS BIGINT) AS missing FROM clean GROUP BY 1, 2"""
-ORACLE["s08_write_report"] = " UNION ALL ".join(
-    f"SELECT '{name}' AS \"Query_Description\", '{D.AS_OF}' AS \"Generated_At\"" for name in [
-        "Total number of products", "Number of CTN vs NON-CTN products", "Total units available", "Duplicate Serial_Numbers",
-        "Missing Serial_Numbers", "Supplier-wise product counts", "Products appearing in multiple catalogs",
-        "Unique products (only in one catalog)",
-    ]
-)
+
+
+def report_row(report: tuple[str, str], table: str, top: int) -> str:
+    name, query = report
+    columns = {
+        "a01": ["total_products"], "a02": ["Packaging_Type", "count"], "a03": ["total_units"], "a04": ["Serial_Number", "count"],
+        "a05": ["missing_serials"], "a06": ["Supplier", "total_products"], "a07": ["Serial_Number", "supplier_count"],
+        "a08": ["unique_products"],
+    }[table[:3]]
+    row = "{" + ", ".join(f"'{c}': \"{c}\"" for c in columns) + "}"
+    order = ", ".join([f'"{columns[-1]}" DESC', *[f'"{c}" NULLS FIRST' for c in columns[:-1]]])
+    return f"""SELECT '{name}' AS "Query_Description", '{query.replace("'", "''")}' AS "Query", CAST(CASE WHEN total <= {top} THEN to_json(rows)
+      ELSE to_json({{'total_rows': total, 'top_rows': rows}}) END AS VARCHAR) AS "Result", '{D.AS_OF}' AS "Generated_At"
+      FROM (SELECT max(total) AS total, list({row} ORDER BY {order}) AS rows
+        FROM (SELECT *, count(*) OVER () AS total FROM ({ORACLE[table]}) ORDER BY {order} LIMIT {top}))"""
+
+
+def report_sql(top: int) -> str:
+    tables = [key for key in ORACLE if key[:3] in [f"a{n:02}" for n in range(1, 9)]]
+    return " UNION ALL ".join(f"({report_row(report, table, top)})" for report, table in zip(REPORTS.items(), tables))
+
+
+ORACLE["a12_report"] = report_sql(20)
+ORACLE["s08_write_report"] = report_sql(5)

@@ -9,7 +9,6 @@ from shelfmark.functions import html as H
 from shelfmark.functions.text import (
     absolute_url, brand_and_title, empty_to_null, or_not_available, path_without_query, price_text, utc_iso_stamp,
 )
-from shelfmark.operators.consolidate import first_per_key
 from shelfmark.schema import NOT_AVAILABLE, SCRAPED_COLUMNS
 
 # The site prefix written to results and the text of a blocked page.
@@ -19,9 +18,16 @@ BLOCKED = "Blocked by anti-bot"
 FIELDS = ["page_title", "page_description", "page_price", "page_image", "page_barcode"]
 
 
-def latest_pages(pages: DataFrame) -> DataFrame:
-    """One page per URL, the highest ``page_id``."""
-    return first_per_key(pages, ["url"], [F.desc("page_id")])
+def latest_pages(pages: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """One page per URL, the highest ``page_id``; ``wanted`` limits the URLs.
+
+    The choice is made on ``url, page_id`` alone, with a partial aggregate, so many copies of one
+    URL never bring their HTML together.
+    """
+    chosen = pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    if wanted is not None:
+        chosen = chosen.join(wanted, "url", "left_semi")
+    return pages.join(chosen, ["url", "page_id"], "left_semi")
 
 
 def page_fields(pages: DataFrame, fallback_h1: bool = False) -> DataFrame:
@@ -64,8 +70,7 @@ def _look_up(rows: DataFrame, url: str, wanted: Column, spread: str, found: Data
 
 def _pages_for(rows: DataFrame, url: str, pages: DataFrame) -> DataFrame:
     """The latest stored page of each URL that ``rows`` mention."""
-    wanted = rows.select(F.col(url).alias("url")).distinct()
-    return latest_pages(pages.join(wanted, "url", "left_semi"))
+    return latest_pages(pages, rows.select(F.col(url).alias("url")).distinct())
 
 
 def route(matches: DataFrame, pages: DataFrame, fallback_h1: bool = False, check_empty: bool = False) -> DataFrame:

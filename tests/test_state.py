@@ -2,6 +2,7 @@ import pytest
 
 from shelfmark.operators import reports as R
 from shelfmark.operators import state as S
+from shelfmark.operators.pages import latest_pages
 from shelfmark.plans import enrich as E
 from shelfmark.plans.match import pending_records
 from shelfmark.streaming.enrich import start_enrichment
@@ -115,6 +116,23 @@ def test_stream_takes_each_file_once(spark, work, tmp_path):
     assert sorted(r.Scrape_ID for r in spark.read.parquet(f"{out}/scraped_products").collect()) == list(range(1, 9))
 
 
+def test_copies_of_one_url_do_not_gather_their_html(spark):
+    pages = spark.range(0, 9000, numPartitions=4).selectExpr(
+        "id AS page_id", "IF(id % 3 = 0, 'hot', 'u' || id) AS url", "'<p>' || id || '</p>' AS html"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        latest = latest_pages(pages)
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert latest.filter("url = 'hot'").first().page_id == 8997 and latest.count() == 6001
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "html" in line]
+    assert all("page_id" in line for line in moved)
+
+
 def test_unmatched_records_spread_over_partitions(spark, work):
     # A shared "no match" URL must not be a join key.
     many = spark.range(3000).selectExpr(
