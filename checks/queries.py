@@ -207,7 +207,7 @@ def p14(spark, sf_dir):
 
 def extraction(name: str, alias: str, build) -> None:
     def run(spark, sf_dir):
-        return D.products(spark, sf_dir).select("p_partkey", build(F.col("name")).alias(alias))
+        return D.products(spark, sf_dir).select("p_partkey", build("name").alias(alias))
 
     QUERIES[name] = run
 

@@ -19,16 +19,12 @@ NULL_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# Every other Unicode decimal digit and its 0-9 form, so that a ``\d`` match can be cast.
 _DIGITS = [
     ch for ch in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(ch) == "Nd"
 ]
-_DIGITS_FROM = "".join(_DIGITS)
-_DIGITS_TO = "".join(str(unicodedata.decimal(ch)) for ch in _DIGITS)
-
-
-def ascii_digits(c: Column) -> Column:
-    """Map every Unicode decimal digit to 0-9, so a ``\\d`` match can be cast."""
-    return F.translate(c, _DIGITS_FROM, _DIGITS_TO)
+UNICODE_DIGITS = "".join(_DIGITS)
+ASCII_DIGITS = "".join(str(unicodedata.decimal(ch)) for ch in _DIGITS)
 
 
 def strip(c: Column) -> Column:

@@ -18,7 +18,7 @@ from shelfmark.sources.catalogs import ORDER_COLUMNS, standardize_columns
 
 def extract_features(df: DataFrame, weight=weight_quantity, rules: list[str] = FINAL_RULES) -> DataFrame:
     """Add weight, units and packaging; columns of those names in the input are replaced."""
-    name = F.col("Product_Name")
+    name = "Product_Name"
     return df.withColumns({
         "Weight_Quantity": weight(name),
         "Units_Per_Carton": units_per_carton(name, rules),

@@ -36,7 +36,7 @@ VECTORS = [
 
 def test_vectors(spark):
     df = spark.createDataFrame([(v[0],) for v in VECTORS], "name string")
-    name = F.col("name")
+    name = "name"
     got = df.select(name, packs.weight_quantity(name), packs.units_per_carton(name), packs.packaging_type(name)).collect()
     assert [tuple(r) for r in got] == VECTORS
 
@@ -47,7 +47,7 @@ def test_vectors(spark):
 ])
 def test_early_variant(spark, name, weight, units):
     df = spark.createDataFrame([(name,)], "name string")
-    row = df.select(packs.weight_token(F.col("name")), packs.units_per_carton(F.col("name"), packs.EARLY_RULES)).first()
+    row = df.select(packs.weight_token("name"), packs.units_per_carton("name", packs.EARLY_RULES)).first()
     assert tuple(row) == (weight, units)
 
 
