@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import derive as D
 from shelfmark.functions import html as H
 from shelfmark.functions import packs, text
-from shelfmark.functions.similarity import score_long_pairs, tokens
+from shelfmark.functions.similarity import score_long_pairs, tokens_sql
 from shelfmark.operators import candidates as C
 from shelfmark.operators import consolidate as K
 from shelfmark.operators import matching as M
@@ -387,9 +387,9 @@ def t01(spark, sf_dir):
 @query("t01_long_text_cosine")
 def t01_long(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    own = docs.select("doc_id", tokens("text").alias("a"))
-    following = docs.select((F.col("doc_id") - 1).alias("doc_id"), tokens("text").alias("b"))
-    scored = score_long_pairs(own.join(following, "doc_id"), ["doc_id"], "a", "b")
+    following = docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("other"))
+    pairs = docs.select("doc_id", "text").join(following, "doc_id")
+    scored = score_long_pairs(pairs, ["doc_id"], tokens_sql("text"), tokens_sql("other"))
     return scored.select("doc_id", F.round("similarity", 3).alias("similarity"))
 
 

@@ -72,18 +72,18 @@ def tfidf_cosine(a: str, b: str) -> Column:
     return F.expr(cosine_sql(a, b))
 
 
-def score_long_pairs(pairs: DataFrame, keys: list[str], left: str, right: str, score: str = "similarity") -> DataFrame:
-    """Score one pair of token arrays per row; returns ``keys`` and the score.
+def score_long_pairs(pairs: DataFrame, keys: list[str], left: Sql, right: Sql, score: str = "similarity") -> DataFrame:
+    """Score one pair of texts per row; returns ``keys`` and the score.
 
-    Linear in the text length. The arrays move once, by pair key; both aggregates then reuse
-    that partitioning.
+    ``left`` and ``right`` give the token arrays and are evaluated after the rows have moved, once,
+    by pair key; both aggregates reuse that partitioning. Linear in the text length.
     """
-    side = lambda words, n: each("transform", words, lambda t: f"named_struct('token', {t}, 'side', {n})")
     counts = (
         pairs.repartition(*keys)
-        .select(*keys, F.expr(f"explode_outer(concat({side(left, 1)}, {side(right, 2)}))").alias("t"))
-        .groupBy(*keys, F.col("t.token").alias("token"))
-        .agg(F.count_if(F.col("t.side") == 1).alias("a"), F.count_if(F.col("t.side") == 2).alias("b"))
+        .selectExpr(*keys, f"{left} AS a", f"{right} AS b")
+        .selectExpr(*keys, "size(a) AS own", "posexplode_outer(concat(a, b)) AS (at, token)")
+        .groupBy(*keys, "token")
+        .agg(F.expr("count_if(at < own)").alias("a"), F.expr("count_if(at >= own)").alias("b"))
     )
     sums = counts.groupBy(*keys).agg(
         F.expr("sum(a * b)").alias("dot"),

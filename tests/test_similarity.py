@@ -6,7 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from shelfmark.functions.similarity import score_long_pairs, tfidf_cosine, tokens
-from shelfmark.operators.candidates import candidate_array, retrieve
+from shelfmark.operators.candidates import retrieve
 from shelfmark.operators.matching import augment, match_wide, similarity_table
 
 
@@ -127,4 +127,3 @@ def test_variant_table_keeps_empty_slots(spark):
 def test_scoring_stays_in_the_row(spark):
     plan = match_wide(wide(spark, ("a", [])))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
-    assert candidate_array() is not None
