@@ -205,5 +205,6 @@ def retrieve(
     firsts = firsts.join(bags.filter("is_item").selectExpr("bag", "bag_id AS item_bag"), "bag").drop("bag")
     by_score = F.round("similarity", 9).desc()  # equal scores can differ in their last bits
     ranked = first_per_key(pairs.join(firsts, "item_bag"), ["record_bag"], [by_score, "key"], top, rank_name="rank")
-    numbered = rec.join(bags.filter("is_record").selectExpr("bag", "bag_id AS record_bag"), "bag")
-    return numbered.join(ranked, "record_bag").select("id", "rank", "key", "url", "title", "similarity")
+    # The results go back to their bag first, so that the records move only once.
+    named = ranked.join(bags.filter("is_record").selectExpr("bag", "bag_id AS record_bag"), "record_bag")
+    return rec.join(named, "bag").select("id", "rank", "key", "url", "title", "similarity")
