@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.similarity import LONE_WEIGHT, cosine_general, cosine_of_sizes, score_long_pairs, tokens_sql
-from shelfmark.functions.sqltext import Sql, each, let
+from shelfmark.functions.sqltext import Sql, each, let, var
 from shelfmark.functions.text import or_not_available
 from shelfmark.operators.consolidate import first_per_key, with_row_number
 from shelfmark.schema import CANDIDATE_RANKS
@@ -129,24 +131,84 @@ def _pair_keys(threshold: float) -> Sql:
     return let(weighed, keys)
 
 
-def _short_pairs(bags: DataFrame, threshold: float) -> DataFrame:
+def _least_shared(threshold: float, longest: int) -> Sql:
+    """Array of arrays: the fewest tokens that texts of given sizes, without repeats, must share."""
+
+    def least(a: int, b: int) -> int:
+        for n in range(1, min(a, b) + 1):
+            norms = (n + (a - n) * LONE_WEIGHT) * (n + (b - n) * LONE_WEIGHT)
+            if n / math.sqrt(norms) >= threshold - 1e-9:
+                return n
+        return a + b  # out of reach
+
+    sizes = range(1, longest + 1)
+    return "array(" + ", ".join("array(" + ", ".join(str(least(a, b)) for b in sizes) + ")" for a in sizes) + ")"
+
+
+def _sized_keys(threshold: float, longest: int) -> Sql:
+    """Token-pair keys of a text without repeats, for every partner size it can match.
+
+    Knowing both sizes, the shared tokens must be more, so a key reaches less far into the
+    frequent tokens: titles that differ in one rare token do not all meet under the common ones.
+    """
+    key = lambda x, y, other: f"named_struct('first', {x}.token, 'second', {y}, 'other', {other})"
+
+    def for_size(row: Sql, other: Sql) -> Sql:
+        def keys(need: Sql) -> Sql:
+            n = "size(terms)"
+            x, i = var(), var()
+            alone = each("transform", "terms", lambda t: key(t, "0L", other))
+            y, j = var(), var()
+            # Two shared tokens at i < j leave at most n - j from the second on.
+            second = f"filter(transform(terms, ({y}, {j}) -> named_struct('token', {y}.token, 'at', {j})), {y} -> {y}.at > {i} AND {n} - {y}.at + 1 >= {need})"
+            both = f"flatten(transform(terms, ({x}, {i}) -> transform({second}, {y} -> {key(x, f'{y}.token', other)})))"
+            none = "CAST(array() AS ARRAY<STRUCT<first: BIGINT, second: BIGINT, other: INT>>)"
+            return f"CASE WHEN {need} > {n} THEN {none} WHEN {need} = 1 THEN concat({alone}, {both}) ELSE {both} END"
+
+        return let(f"get({row}, {other} - 1)", keys)
+
+    row = f"get({_least_shared(threshold, longest)}, size(terms) - 1)"
+    return let(row, lambda r: f"flatten({each('transform', f'sequence(1, {longest})', lambda other: for_size(r, other))})")
+
+
+def _short_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
     # Keyed by token pairs and scored in the join. A pair meets under several keys but is scored
     # only under its rarest shared tokens, and is 0 elsewhere, so no distinct is needed.
     words = "flatten(transform(terms, x -> array_repeat(x.token, CAST(x.tf AS INT)))) AS words"
-    keyed = bags.selectExpr(
-        "bag_id", "is_record", "is_item", words, "size(terms) = length AS plain",
-        f"explode({_pair_keys(threshold)}) AS key",
-    ).withColumns({"first": F.col("key.first"), "second": F.col("key.second")})
-    left = keyed.filter("is_record").selectExpr("first", "second", "bag_id AS record_bag", "words AS a", "plain AS plain_a")
-    right = keyed.filter("is_item").selectExpr("first", "second", "bag_id AS item_bag", "words AS b", "plain AS plain_b")
-    score = let("array_intersect(a, b)", lambda shared: (
-        f"CASE WHEN {shared}[0] <> first OR coalesce(get({shared}, 1), 0L) <> second THEN 0D"
-        f" WHEN plain_a AND plain_b THEN {cosine_of_sizes('size(a)', 'size(b)', f'size({shared})')}"
-        f" ELSE {cosine_general('a', 'b')} END"
-    ))
-    # Not nullable, so that a filter on the score does not evaluate it again for a null check.
-    met = left.join(right, ["first", "second"])
-    return met.select("record_bag", "item_bag", F.expr(f"coalesce({score}, 0D)").alias("similarity"))
+    bags = bags.selectExpr("bag_id", "is_record", "is_item", "terms", words, "size(terms) = length AS plain")
+
+    def keyed(rows: DataFrame, side: str, keys: Sql) -> DataFrame:
+        return rows.selectExpr(f"bag_id AS {side}_bag", f"words AS {side}_words", f"explode({keys}) AS key")
+
+    def scored(left: DataFrame, right: DataFrame, on: list[str], score) -> DataFrame:
+        value = let("array_intersect(record_words, item_words)", lambda shared: (
+            f"CASE WHEN {shared}[0] <> first OR coalesce(get({shared}, 1), 0L) <> second THEN 0D ELSE {score(shared)} END"
+        ))
+        # Not nullable, so that a filter on the score does not evaluate it again for a null check.
+        return left.join(right, on).select("record_bag", "item_bag", F.expr(f"coalesce({value}, 0D)").alias("similarity"))
+
+    records, items = bags.filter("is_record"), bags.filter("is_item")
+    sized = _sized_keys(threshold, longest)
+    parts = "key.first AS first", "key.second AS second"
+    plain = scored(
+        keyed(records.filter("plain"), "record", sized).selectExpr(
+            "record_bag", "record_words", *parts, "size(record_words) AS record_size", "key.other AS item_size"),
+        keyed(items.filter("plain"), "item", sized).selectExpr(
+            "item_bag", "item_words", *parts, "key.other AS record_size", "size(item_words) AS item_size"),
+        ["first", "second", "record_size", "item_size"],
+        lambda shared: cosine_of_sizes("size(record_words)", "size(item_words)", f"size({shared})"),
+    )
+    # Pairs with a repeated token on some side.
+    loose = _pair_keys(threshold)
+    general = lambda left, right: scored(
+        keyed(left, "record", loose).selectExpr("record_bag", "record_words", *parts),
+        keyed(right, "item", loose).selectExpr("item_bag", "item_words", *parts),
+        ["first", "second"],
+        lambda shared: cosine_general("record_words", "item_words"),
+    )
+    from_repeats = general(records.filter("NOT plain"), items)
+    to_repeats = general(records.filter("plain"), items.filter("NOT plain"))
+    return plain.unionByName(from_repeats).unionByName(to_repeats)
 
 
 def _long_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
@@ -174,7 +236,7 @@ def similar_bags(bags: DataFrame, threshold: float, longest: int = 32) -> DataFr
     pairs, which keeps key groups small; their number is quadratic in the length, so longer bags
     take single-token keys.
     """
-    short = _short_pairs(bags.filter(F.col("length") <= longest), threshold)
+    short = _short_pairs(bags.filter(F.col("length") <= longest), threshold, longest)
     if bags.filter(F.col("length") > longest).isEmpty():
         found = short
     else:

@@ -84,6 +84,15 @@ def test_retrieval_with_a_third_of_all_titles_equal(spark):
     check_retrieval(spark, records, items)
 
 
+def test_titles_that_differ_in_one_rare_token_do_not_all_meet(spark):
+    records = [(i, f"acme widget sku{i}") for i in range(400)] + [(400, "acme widget")]
+    items = [(i, f"widget acme sku{i * 2}") for i in range(400)]
+    rec = spark.createDataFrame(records, "id int, title string")
+    cat = spark.createDataFrame([(k, f"u{k}", t) for k, t in items], "key int, url string, title string")
+    got = {(r["id"], r["key"]) for r in retrieve(rec, cat).collect()}
+    assert got == {(i, i // 2) for i in range(0, 400, 2)} | {(400, k) for k in range(5)}
+
+
 WIDE = "id string, serial_number string, input_title string, " + ", ".join(
     f"url_{r} string, url_{r}_title string" for r in range(1, 6)
 ) + ", scraped_date string"
