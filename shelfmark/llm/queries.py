@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import packing, quality_rules, sanitise, secret_scan, sharding
+from shelfmark.llm import packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,12 @@ def op3(spark, sf_dir):
     )
 
 
+@query("op5_fixed_blocks")
+def op5(spark, sf_dir):
+    found = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 @query("op6_secret_scan")
 def op6(spark, sf_dir):
     found = secret_scan.scan(read(spark, sf_dir, "documents"))
