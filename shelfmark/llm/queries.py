@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup
+from shelfmark.llm import decontaminate, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +37,12 @@ def op3(spark, sf_dir):
     )
 
 
+@query("op4_template_leaks")
+def op4(spark, sf_dir):
+    found = decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
 @query("op5_fixed_blocks")
 def op5(spark, sf_dir):
     found = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
