@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chosen_path, decontaminate, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup
+from shelfmark.llm import chosen_path, decontaminate, line_dedup, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,6 +65,12 @@ def op6(spark, sf_dir):
     )
 
 
+@query("op7_fuzzy_lines")
+def op7(spark, sf_dir):
+    found = line_dedup.report(read(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_lines", "n_dropped", "places")
+
+
 @query("op8_best_fit")
 def op8(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"))
