@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chosen_path, decontaminate, line_dedup, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup
+from shelfmark.llm import chosen_path, decontaminate, html_templates, line_dedup, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query("op1_templates")
+def op1(spark, sf_dir):
+    return html_templates.extract(read(spark, sf_dir, "pages")).withColumnRenamed("key", "page_id")
+
+
 @query("op2_chosen_path")
 def op2(spark, sf_dir):
     return chosen_path.near_duplicates(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id")
