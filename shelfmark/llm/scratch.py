@@ -16,10 +16,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written rows: lost executors can neither recompute nor change them."""
+    """Write ``df`` once and return the written rows: lost executors can neither recompute nor change them.
+
+    What was shuffled for the write is garbage afterwards; the driver collects it at once, so that jobs do not add up on disk."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/shelfmark-llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
