@@ -221,7 +221,8 @@ def _exact(docs: DataFrame, members: DataFrame, n: int, threshold: float, key: s
             names = ["id", "weight", "component", "blocks", "block"]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), data], [*names, "tokens"])
 
-    sets = first.join(placed.drop("n").hint("merge"), "id").select(  # one plan for all sizes: members are a share of the documents"id", "weight", "component", "blocks", "block", "text")
+    # one plan for all sizes: the members are a share of the documents
+    sets = first.join(placed.drop("n").hint("merge"), "id").select("id", "weight", "component", "blocks", "block", "text")
     sets = sets.mapInArrow(to_sets, "id long, weight long, component long, blocks int, block int, tokens binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     task = F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other"))
