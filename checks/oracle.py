@@ -358,7 +358,7 @@ ORACLE["e1_catalog_to_report"] = f"""WITH {CATALOG} SELECT "Packaging_Type", "Su
   CAST(0 AS BIGINT) AS missing FROM clean GROUP BY 1, 2"""
 
 
-def report_row(report: tuple[str, str], table: str, top: int) -> str:
+def report_row(report: tuple[str, str], table: str) -> str:
     name, query = report
     columns = {
         "a01": ["total_products"], "a02": ["Packaging_Type", "count"], "a03": ["total_units"], "a04": ["Serial_Number", "count"],
@@ -366,17 +366,15 @@ def report_row(report: tuple[str, str], table: str, top: int) -> str:
         "a08": ["unique_products"],
     }[table[:3]]
     row = "{" + ", ".join(f"'{c}': \"{c}\"" for c in columns) + "}"
-    order = ", ".join([f'"{columns[-1]}" DESC', *[f'"{c}" NULLS FIRST' for c in columns[:-1]]])
-    return f"""SELECT '{name}' AS "Query_Description", '{query.replace("'", "''")}' AS "Query", CAST(CASE WHEN total <= {top} THEN to_json(rows)
-      ELSE to_json({{'total_rows': total, 'top_rows': rows}}) END AS VARCHAR) AS "Result", '{D.AS_OF}' AS "Generated_At"
-      FROM (SELECT max(total) AS total, list({row} ORDER BY {order}) AS rows
-        FROM (SELECT *, count(*) OVER () AS total FROM ({ORACLE[table]}) ORDER BY {order} LIMIT {top}))"""
+    return f"""SELECT '{name}' AS "Query_Description", '{query.replace("'", "''")}' AS "Query", CAST(to_json({row}) AS VARCHAR) AS "Result",
+      '{D.AS_OF}' AS "Generated_At" FROM ({ORACLE[table]})"""
 
 
-def report_sql(top: int) -> str:
+def report_sql() -> str:
     tables = [key for key in ORACLE if key[:3] in [f"a{n:02}" for n in range(1, 9)]]
-    return " UNION ALL ".join(f"({report_row(report, table, top)})" for report, table in zip(REPORTS.items(), tables))
+    return " UNION ALL ".join(f"({report_row(report, table)})" for report, table in zip(REPORTS.items(), tables))
 
 
-ORACLE["a12_report"] = report_sql(20)
-ORACLE["s08_write_report"] = report_sql(5)
+ORACLE["a12_report"] = ORACLE["s08_write_report"] = report_sql()
+ORACLE["e3_text_ids"] = f"""WITH {_SCRAPED} SELECT CASE WHEN "Scrape_ID" % 3 = 0 THEN 'A-' || "Scrape_ID" WHEN "Scrape_ID" % 3 = 1 THEN '00' || "Scrape_ID"
+  ELSE CAST("Scrape_ID" AS VARCHAR) END AS record_id, CAST(1 AS BIGINT) AS n, "Product_Name", CASE WHEN "Scrape_ID" % 3 <> 0 THEN "Scrape_ID" END AS "Scrape_ID" FROM scraped"""

@@ -121,7 +121,7 @@ def s07(spark, sf_dir):
 @query("s08_write_report")
 def s08(spark, sf_dir):
     path = f"{scratch(spark)}/report"
-    ST.write_report(R.report(D.master(spark, sf_dir), D.AS_OF, top=5), path)
+    ST.write_report(R.report(D.master(spark, sf_dir), D.AS_OF), path)
     return spark.read.parquet(path)
 
 
@@ -305,7 +305,7 @@ def a11(spark, sf_dir):
 
 @query("a12_report")
 def a12(spark, sf_dir):
-    return R.report(D.master(spark, sf_dir), D.AS_OF, top=20)
+    return R.report(D.master(spark, sf_dir), D.AS_OF)
 
 
 # Union, dedup, keys and state.
@@ -577,3 +577,17 @@ def e3(spark, sf_dir):
     E.run_batch(spark, first, pages, out, "1", D.AS_OF, D.SITE)  # repeated after a crash
     E.run_batch(spark, matches, pages, out, "2", D.AS_OF, D.SITE)
     return E.current_products(spark, out)
+
+
+@query("e3_text_ids")
+def e3_text_ids(spark, sf_dir):
+    """Record ids that are no numbers, or that only differ as text: each is processed once and kept."""
+    out = scratch(spark)
+    matches, pages = D.page_matches(spark, sf_dir), D.product_pages(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    matches = matches.withColumn("id", F.when(number % 3 == 0, F.concat(F.lit("A-"), "id")).when(number % 3 == 1, F.concat(F.lit("00"), "id")).otherwise(F.col("id")))
+    for batch in ("1", "2", "3"):
+        todo = matches.filter(F.col("status") == "Available") if batch == "1" else matches
+        E.run_batch(spark, todo, pages, out, batch, D.AS_OF, D.SITE)
+    rows = spark.read.parquet(f"{out}/scraped_products")
+    return rows.groupBy("record_id").agg(F.count("*").alias("n"), F.max("Product_Name").alias("Product_Name"), F.max("Scrape_ID").alias("Scrape_ID"))

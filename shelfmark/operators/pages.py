@@ -89,7 +89,10 @@ def route(matches: DataFrame, pages: DataFrame, fallback_h1: bool = False, check
 
 
 def scraped_products(routed: DataFrame, as_of: str, site: str = SITE, clean_price: bool = False) -> DataFrame:
-    """Routed records as output rows, sentinels filled, plus ``outcome``."""
+    """Routed records as output rows, sentinels filled, plus ``outcome`` and the record's own id as text, ``record_id``.
+
+    ``Scrape_ID`` is that id as a number; it is null for other ids and does not identify a record.
+    """
     ok = F.col("outcome") == "parsed"
     page_price = price_text(F.col("page_price")) if clean_price else F.col("page_price")
     value = lambda c: or_not_available(F.when(ok, c))
@@ -107,7 +110,8 @@ def scraped_products(routed: DataFrame, as_of: str, site: str = SITE, clean_pric
         F.lit(site).alias("Source_Website"),
         utc_iso_stamp(as_of).alias("Last_Updated"),
         "outcome",
-    ).select(*SCRAPED_COLUMNS, "outcome")
+        F.col("id").cast("string").alias("record_id"),
+    ).select(*SCRAPED_COLUMNS, "outcome", "record_id")
 
 
 def search_results(pages: DataFrame, key: str, site: str = SITE, early: bool = False) -> DataFrame:

@@ -117,33 +117,16 @@ def report_tables(products: DataFrame, share: bool = False) -> dict[str, DataFra
     return dict(zip(REPORTS, tables))
 
 
-def _result_text(table: DataFrame, top: int) -> DataFrame:
-    # Row-shaped results can grow with the data: the report shows the top rows and how many there
-    # are in all, while report_tables keeps them whole.
-    *names, value = table.columns
-    order = [(-F.col(value)).alias("__by"), *names]
-    shown = table.orderBy(*order).limit(top).agg(
-        F.sort_array(F.collect_list(F.struct(*order, F.struct(*table.columns).alias("__row")))).alias("rows")
-    )
-    size = table.agg(F.count("*").alias("total"))
-    rows = F.transform("rows", lambda r: r["__row"])
-    keep_nulls = {"ignoreNullFields": "false"}
-    whole = F.to_json("rows", keep_nulls)
-    part = F.to_json(F.struct(F.col("total").alias("total_rows"), F.col("rows").alias("top_rows")), keep_nulls)
-    # Both sides are one row; stack and merge them.
-    merged = shown.select(rows.alias("rows")).unionByName(size, allowMissingColumns=True).agg(
-        F.first("rows", ignorenulls=True).alias("rows"), F.max("total").alias("total")
-    )
-    return merged.select(F.when(F.col("total") <= top, whole).otherwise(part).alias("Result"))
+def report(products: DataFrame, as_of: str) -> DataFrame:
+    """Every row of every report: description, query text, the row as JSON, run stamp.
 
-
-def report(products: DataFrame, as_of: str, top: int = 1000) -> DataFrame:
-    """One row per report: description, query text, result as JSON, run stamp."""
+    Reports that grow with the data are complete and stay rows, so the shape is the same at every size.
+    """
     rows = [
-        _result_text(table, top).select(
+        table.select(
             F.lit(text).alias("Query_Description"),
             F.lit(REPORTS[text]).alias("Query"),
-            "Result",
+            F.to_json(F.struct(*table.columns), {"ignoreNullFields": "false"}).alias("Result"),
             local_stamp(as_of).alias("Generated_At"),
         )
         for text, table in report_tables(products, share=True).items()

@@ -34,7 +34,7 @@ def not_done(df: DataFrame, ledger: DataFrame, key: str, retry_failed: bool = Fa
 
 
 def upsert_last(old: DataFrame, new: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
-    """Newer versions replace older ones; between equals the new side wins."""
+    """The new side replaces the old, whatever its version; within a side the newest version wins."""
     sides = old.withColumn("__side", F.lit(0)).unionByName(
         new.withColumn("__side", F.lit(1)), allowMissingColumns=True
     )

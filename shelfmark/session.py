@@ -25,17 +25,17 @@ def local_session(cores: int | str = 8, app: str = "shelfmark", **conf: str) ->
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfmark-checkpoint-"))
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; only a local master may fall back to a temp folder."""
+    """Use the folder the session names in ``spark.checkpoint.dir``; without one nothing is written anywhere else."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="shelfmark-checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(shared)

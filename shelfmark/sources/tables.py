@@ -29,9 +29,9 @@ def write_augmented(df: DataFrame, path: str) -> None:
 
 
 def append_results(df: DataFrame, path: str, batch_id: str) -> None:
-    """Append one batch under its own folder; writing the same batch again replaces it."""
+    """Append one batch under its own folder; writing the same batch again replaces it. Keeps ``record_id`` where there is one."""
     require(df.columns, SCRAPED_COLUMNS, "scraped products")
-    df.select(*SCRAPED_COLUMNS).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    df.select(*SCRAPED_COLUMNS, *(c for c in ["record_id"] if c in df.columns)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def append_csv(df: DataFrame, path: str, batch_id: str) -> None:

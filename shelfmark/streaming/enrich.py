@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfmark.operators.pages import SITE
-from shelfmark.plans.enrich import enrich, write_batch
+from shelfmark.plans.enrich import run_batch
 from shelfmark.schema import MATCH_COLUMNS
 
 MATCH_SCHEMA = ", ".join(f"{name} string" for name in MATCH_COLUMNS)
@@ -26,8 +26,8 @@ def start_enrichment(
     )
 
     def handle(batch: DataFrame, number: int) -> None:
-        pages = batch.sparkSession.read.parquet(pages_path)
-        write_batch(enrich(batch, pages, as_of, site), out, f"stream-{number:08d}", as_of)
+        spark = batch.sparkSession
+        run_batch(spark, batch.dropDuplicates(["id"]), spark.read.parquet(pages_path), out, f"stream-{number:08d}", as_of, site)
 
     return (
         matches.writeStream.foreachBatch(handle)
