@@ -52,7 +52,7 @@ def test_catalogs_to_report(spark, files, tmp_path, caplog):
     assert master.filter("Source_File <> Supplier OR Last_Updated <> '2025-01-02 03:04:05'").isEmpty()
     results = {r.Query_Description: r.Result for r in report.collect()}
     assert len(results) == 8
-    assert results["Total number of products"] == '[{"total_products":9}]'
+    assert results["Total number of products"] == '{"total_products":9}'
     assert results["Duplicate Serial_Numbers"] == '[{"Serial_Number":null,"count":2},{"Serial_Number":"1","count":2}]'
     assert results["Products appearing in multiple catalogs"] == (
         '[{"Serial_Number":null,"supplier_count":2},{"Serial_Number":"1","supplier_count":2}]'
