@@ -114,12 +114,13 @@ def pieces(docs: DataFrame, capacity: int = 2048, encoder=public_encoder, end_id
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, _PIECES)
 
 
-def pack(docs: DataFrame, capacity: int = 2048, open_sequences: int = 512, group_tokens: int = 1 << 26, encoder=public_encoder,
+def pack(docs: DataFrame, capacity: int = 2048, open_sequences: int = 1 << 15, group_tokens: int = 1 << 26, encoder=public_encoder,
          key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece with its ``sequence_id`` and gapless ``offset``.
 
     Pieces are dealt into groups of about ``group_tokens`` tokens (a bound on a task, about 32,000 sequences) and each group is
-    packed on its own, longest pieces first. Null text is empty: the document is its end id alone. Repeated rows are packed as
+    packed on its own, longest pieces first: long pieces stay open until short ones fill them, so the bound on open sequences is
+    as large as a group has sequences (32,768 numbers of memory). Null text is empty: the document is its end id alone. Repeated rows are packed as
     often as they occur; an empty table gives an empty result.
     """
     cut_up = stage(pieces(docs, capacity, encoder, key=key, text=text).withColumn("deal", F.monotonically_increasing_id()), "pieces")
