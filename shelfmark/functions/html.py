@@ -10,6 +10,8 @@ The functions take and return SQL expression text, for ``F.expr``.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from shelfmark.functions.sqltext import Sql, each, let, lit, raw, var
@@ -162,13 +164,26 @@ def inner(markup: Sql, open_tag: str) -> Sql:
 
 
 def first_below_markup(markup: Sql, outer: str, wanted: str) -> Sql:
-    """Content of the first ``wanted`` element that lies inside an ``outer`` one; null if none does."""
+    """Content of the first ``wanted`` element that lies inside an ``outer`` one, whatever is nested; null if none does."""
+    outer_name, wanted_name = (re.match(r"<\(\?i:(\w+)\)", tag)[1] for tag in (outer, wanted))
 
-    def hits(blocks: Sql) -> Sql:
-        found = each("transform", f"slice({blocks}, 2, size({blocks}))", lambda b: inner(inner(b, outer), wanted))
-        return f"get({each('filter', found, lambda text: f'{text} IS NOT NULL')}, 0)"
+    def find(pieces: Sql) -> Sql:
+        # Depth counts elements of the outer's name; ``top`` is the depth of the open outer element, 0 if none is open.
+        a, p = var(), var()
+        starts = lambda tag: f"rlike({p}, {raw(rf'^(?i:{tag})[\s/>]')})"
+        step = f"CASE WHEN {starts('<' + outer_name)} THEN 1 WHEN {starts('</' + outer_name)} THEN -1 ELSE 0 END"
+        depth = f"greatest({a}.depth + {step}, 0)"
+        walk = let(depth, lambda d: (
+            f"named_struct('i', {a}.i + 1, 'depth', {d},"
+            f" 'top', CASE WHEN {a}.top > 0 THEN if({d} < {a}.top, 0, {a}.top) WHEN rlike({p}, {raw(f'^{outer}')}) THEN {d} ELSE 0 END,"
+            f" 'hit', CASE WHEN {a}.hit < 0 AND {a}.top > 0 AND rlike({p}, {raw(f'^{wanted}')}) THEN {a}.i ELSE {a}.hit END)"
+        ))
+        hit = f"aggregate({pieces}, named_struct('i', 0, 'depth', 0, 'top', 0, 'hit', -1), ({a}, {p}) -> {walk}).hit"
+        rest = lambda i: inner(f"array_join(slice({pieces}, {i} + 1, size({pieces})), '')", wanted)
+        return let(hit, lambda i: f"CASE WHEN {i} >= 0 THEN {rest(i)} END")
 
-    return let(f"split(concat({_MARK}, {markup}), {raw(f'(?={outer})')})", hits)
+    tags = rf"(?i)(?=</?(?:{outer_name}|{wanted_name})[\s/>])"
+    return let(f"split(concat({_MARK}, {markup}), {raw(tags)})", find)
 
 
 def first_below(markup: Sql, outer: str, wanted: str) -> Sql:
@@ -240,38 +255,53 @@ def list_items(markup: Sql, in_list: bool = False) -> Sql:
     kinds = [("li", "item"), ("/li", "end"), ("ul", "ul"), ("ol", "ol"), ("/ul", "ul end"), ("/ol", "ol end")]
     kind = lambda p: "CASE " + " ".join(f"WHEN {starts(p, tag)} THEN '{k}'" for tag, k in kinds) + " ELSE '' END"
 
-    def with_depth(pieces: Sql) -> Sql:
-        a, p = var(), var()
-        typed = each("transform", pieces, lambda x: f"named_struct('text', {x}, 'kind', {kind(x)})")
-        step = lambda names: f"CASE {p}.kind " + " ".join(
-            f"WHEN '{n}' THEN 1 WHEN '{n} end' THEN -1" for n in names
-        ) + " ELSE 0 END"
-        depth, uls = f"({a}.depth + {step(['ul', 'ol'])})", f"({a}.uls + {step(['ul'])})"
-        row = f"named_struct('text', {p}.text, 'depth', {depth}, 'uls', {uls}, 'kind', {p}.kind)"
-        empty = "CAST(array() AS ARRAY<STRUCT<text: STRING, depth: INT, uls: INT, kind: STRING>>)"
-        return (
-            f"aggregate({typed}, named_struct('depth', 0, 'uls', 0, 'rows', {empty}), ({a}, {p}) ->"
-            f" named_struct('depth', {depth}, 'uls', {uls}, 'rows', concat({a}.rows, array({row})))).rows"
-        )
-
-    def item_texts(rows: Sql) -> Sql:
-        r, i = var(), var()
-        ends = each(
-            "transform", f"slice({rows}, {i} + 2, size({rows}))",
-            lambda x: f"({x}.depth = {r}.depth AND {x}.kind IN ('item', 'end'))"
-            f" OR ({x}.depth < {r}.depth AND {x}.kind IN ('ul end', 'ol end'))",
-        )
-        body = let(
-            f"CAST(array_position({ends}, true) AS INT)",
-            lambda stop: f"slice({rows}, {i} + 1, CASE WHEN {stop} = 0 THEN size({rows}) ELSE {stop} END)",
-        )
-        wanted = f"{r}.kind = 'item'" + (f" AND {r}.uls > 0" if in_list else "")
-        texts = each("transform", body, lambda x: f"{x}.text")
-        items = f"transform({rows}, ({r}, {i}) -> CASE WHEN {wanted} THEN array_join({texts}, '') END)"
-        return each("filter", items, lambda x: f"{x} IS NOT NULL")
+    nothing = lambda *names: f"CAST(array() AS ARRAY<STRUCT<{', '.join(f'{n}: INT' for n in names)}>>)"
+    state = lambda i, depth, uls, open_: f"'i', {i}, 'depth', {depth}, 'uls', {uls}, 'open', {open_}"
+
+    def advance(a: Sql, p: Sql) -> Sql:
+        # One tag: the items it ends move from ``open`` to ``closed``, an item it starts is opened.
+        step = lambda names: f"CASE {p} " + " ".join(f"WHEN '{n}' THEN 1 WHEN '{n} end' THEN -1" for n in names) + " ELSE 0 END"
+        now = f"named_struct('depth', {a}.depth + {step(['ul', 'ol'])}, 'uls', {a}.uls + {step(['ul'])})"
+
+        def after(s: Sql) -> Sql:
+            ends = lambda o: (
+                f"CASE WHEN {p} IN ('item', 'end') THEN {o}.depth = {s}.depth"
+                f" WHEN {p} IN ('ul end', 'ol end') THEN {o}.depth > {s}.depth ELSE false END"
+            )
+            ended = each("filter", f"{a}.open", ends)
+            closed = each("transform", ended, lambda o: f"named_struct('start', {o}.start, 'stop', {a}.i)")
+            wanted = f"{p} = 'item'" + (f" AND {s}.uls > 0" if in_list else "")
+            opened = f"CASE WHEN {wanted} THEN array(named_struct('start', {a}.i, 'depth', {s}.depth)) ELSE {nothing('start', 'depth')} END"
+            still = each("filter", f"{a}.open", lambda o: f"NOT {ends(o)}")
+            carried = state(f"{a}.i + 1", f"{s}.depth", f"{s}.uls", f"concat({still}, {opened})")
+            return f"named_struct({carried}, 'closed', concat({a}.closed, {closed}))"
+
+        return let(now, after)
+
+    def item_texts(pieces: Sql) -> Sql:
+        # Walked in runs of about the square root of all tags, since a growing array is copied at each step.
+        def walk(kinds: Sql, run: Sql) -> Sql:
+            a, r, b, p = var(), var(), var(), var()
+            begin = f"named_struct({state(f'{a}.i', f'{a}.depth', f'{a}.uls', f'{a}.open')}, 'closed', {nothing('start', 'stop')})"
+            one = f"aggregate(slice({kinds}, {r} * {run} + 1, {run}), {begin}, ({b}, {p}) -> {advance(b, p)})"
+            step = let(one, lambda x: (
+                f"named_struct({state(f'{x}.i', f'{x}.depth', f'{x}.uls', f'{x}.open')}, 'runs', concat({a}.runs, array({x}.closed)))"
+            ))
+            zero = f"named_struct({state(0, 0, 0, nothing('start', 'depth'))}, 'runs', array({nothing('start', 'stop')}))"
+            runs = f"sequence(0, CAST((size({kinds}) - 1) div {run} AS INT))"
+            return f"aggregate({runs}, {zero}, ({a}, {r}) -> {step})"
+
+        def texts(end: Sql) -> Sql:
+            unended = each("transform", f"{end}.open", lambda o: f"named_struct('start', {o}.start, 'stop', {end}.i)")
+            items = f"sort_array(concat(flatten({end}.runs), {unended}))"
+            return each("transform", items, lambda x: f"array_join(slice({pieces}, {x}.start + 1, {x}.stop - {x}.start), '')")
+
+        kinds_of = each("transform", pieces, kind)
+        run_of = lambda kinds: f"CAST(ceil(sqrt(size({kinds}))) AS INT)"
+        return let(let(kinds_of, lambda kinds: let(run_of(kinds), lambda run: walk(kinds, run))), texts)
 
     pieces = f"split(concat({_MARK}, {markup}), {raw(r'(?i)(?=</?(?:li|ul|ol)[\s/>])')})"
-    items = let(let(pieces, with_depth), item_texts)
+    items = let(pieces, item_texts)
     texts = each("transform", items, lambda x: joined_strings(x, " "))
     return each("filter", texts, lambda x: f"{x} <> ''")
 
@@ -340,7 +370,7 @@ def barcode(markup: Sql) -> Sql:
 
 
 def result_blocks(markup: Sql) -> Sql:
-    """Search results of a page, in order: an array of link targets, brand and title.
+    """Search results in all slots of a page, in order: an array of link targets, brand and title, each from inside its block.
 
     ``*_early`` hold the earlier variant's looser link and title rules.
     """
@@ -368,7 +398,11 @@ def result_blocks(markup: Sql) -> Sql:
             f" 'brand', {brand}, 'title', {named}, 'title_early', coalesce({named}, {linked}))"
         )
 
-    slot = inner(markup, by_classes("div", ["s-main-slot"]))
-    pieces = f"split(concat({_MARK}, {slot}), {raw(f'(?={block})')})"
-    found = let(pieces, lambda ps: each("transform", f"slice({ps}, 2, size({ps}))", fields))
+    def inside(markup: Sql, tag: str, body: Callable[[Sql], Sql]) -> Sql:
+        # The body of each element of that tag, up to its own end.
+        starts = f"split(concat({_MARK}, {markup}), {raw(f'(?={tag})')})"
+        return let(starts, lambda ps: each("transform", f"slice({ps}, 2, size({ps}))", lambda p: let(inner(p, tag), body)))
+
+    slots = f"array_join({inside(markup, by_classes('div', ['s-main-slot']), lambda slot: slot)}, {_MARK})"
+    found = inside(slots, block, fields)
     return f"CASE WHEN contains({markup}, 's-search-result') THEN {found} END"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,16 +20,37 @@ BLOCKED = "Blocked by anti-bot"
 FIELDS = ["page_title", "page_description", "page_price", "page_image", "page_barcode"]
 
 
-def latest_pages(pages: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """One page per URL, the highest ``page_id``; ``wanted`` limits the URLs.
+#: Bits of the filter on wanted pages: 4096 bitmaps of 4 KB, 16 MB whatever the data.
+_BITMAP, _BITMAPS = 32768, 4096
+
+
+def _likely(pages: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``pages`` without most of those that ``chosen`` (url, page_id) does not name; nothing is shuffled.
+
+    The bitmaps hold one bit per hash of a chosen page, so they are broadcast at a fixed size. Pages that
+    share a bit with a chosen one pass too, so an exact join must follow.
+    """
+    spot = F.pmod(F.xxhash64("url", F.col("page_id").cast("string")), F.lit(_BITMAP * _BITMAPS))
+    spots = chosen.select(spot.alias("spot")).selectExpr(f"spot div {_BITMAP} AS __part", f"spot % {_BITMAP} AS place")
+    bitmaps = spots.groupBy("__part").agg(F.bitmap_construct_agg("place").alias("__bits"))
+    marked = pages.withColumn("__spot", spot).withColumn("__part", F.expr(f"__spot div {_BITMAP}"))
+    byte = f"CAST(conv(hex(substring(__bits, CAST(__spot % {_BITMAP} div 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    hit = F.expr(f"(shiftright({byte}, CAST(__spot % 8 AS INT)) & 1) = 1")
+    return marked.join(F.broadcast(bitmaps), "__part").filter(hit).select(*pages.columns)
+
+
+def latest_pages(pages: DataFrame, wanted: DataFrame | None = None, parse: Callable[[DataFrame], DataFrame] = lambda p: p) -> DataFrame:
+    """One page per URL, the highest ``page_id``, as ``parse`` returns it (``url`` and ``page_id`` kept); ``wanted`` limits the URLs.
 
-    The choice is made on ``url, page_id`` alone, with a partial aggregate, so many copies of one
-    URL never bring their HTML together.
+    The choice is made on ``url, page_id`` alone, with a partial aggregate. Pages are parsed where they are
+    read, before the join with the choice, so that only parsed fields are shuffled and no HTML.
     """
-    chosen = pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    keys = pages.select("url", "page_id")
     if wanted is not None:
-        chosen = chosen.join(wanted, "url", "left_semi")
-    return pages.join(chosen, ["url", "page_id"], "left_semi")
+        keys = keys.join(wanted, "url", "left_semi")
+    chosen = keys.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    # not a semi join, which the optimizer would move below the parsing
+    return parse(_likely(pages, chosen)).join(chosen, ["url", "page_id"])
 
 
 def page_fields(pages: DataFrame, fallback_h1: bool = False) -> DataFrame:
@@ -68,9 +91,9 @@ def _look_up(rows: DataFrame, url: str, wanted: Column, spread: str, found: Data
     return keyed.join(right, ["__look", "__url"], "left").drop("__url")
 
 
-def _pages_for(rows: DataFrame, url: str, pages: DataFrame) -> DataFrame:
-    """The latest stored page of each URL that ``rows`` mention."""
-    return latest_pages(pages, rows.select(F.col(url).alias("url")).distinct())
+def _pages_for(rows: DataFrame, url: str, pages: DataFrame, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The latest stored page of each URL that ``rows`` mention, parsed."""
+    return latest_pages(pages.select("url", "page_id", "html"), rows.select(F.col(url).alias("url")).distinct(), parse)
 
 
 def route(matches: DataFrame, pages: DataFrame, fallback_h1: bool = False, check_empty: bool = False) -> DataFrame:
@@ -78,7 +101,7 @@ def route(matches: DataFrame, pages: DataFrame, fallback_h1: bool = False, check
 
     Pages are cut to the wanted URLs and parsed once each before the join.
     """
-    parsed = page_fields(_pages_for(matches.filter(needs_page()), "matched_url", pages), fallback_h1)
+    parsed = _pages_for(matches.filter(needs_page()), "matched_url", pages, lambda p: page_fields(p, fallback_h1))
     fields = parsed.select(F.col("url").alias("__url"), "unusable", *FIELDS)
     joined = _look_up(matches, "matched_url", needs_page(), "id", fields)
     outcome = F.when(~F.col("__look"), "no match").when(F.col("__found").isNull(), "missing page")
@@ -133,8 +156,8 @@ def search_results(pages: DataFrame, key: str, site: str = SITE, early: bool = F
 def titles_from_pages(candidates: DataFrame, pages: DataFrame, key: str = "id") -> DataFrame:
     """Candidate rows titled by the heading of their own page, else the sentinel."""
     known = ~F.coalesce(F.col("url"), F.lit("")).isin("", NOT_AVAILABLE)
-    needed = _pages_for(candidates.filter(known), "url", pages)
-    live = needed.select(F.col("url").alias("__url"), F.expr(H.visible_markup("html")).alias("__markup"))
-    heads = live.select("__url", F.expr(H.search_heading("__markup")).alias("__title"))
+    markup = lambda p: p.select("url", "page_id", F.expr(H.visible_markup("html")).alias("__markup"))
+    heading = lambda p: markup(p).select("url", "page_id", F.expr(H.search_heading("__markup")).alias("__title"))
+    heads = _pages_for(candidates.filter(known), "url", pages, heading).select(F.col("url").alias("__url"), "__title")
     joined = _look_up(candidates.drop("title"), "url", known, key, heads)
     return joined.withColumn("title", or_not_available(F.col("__title"))).drop("__title", "__look", "__found")

@@ -12,7 +12,7 @@ from shelfmark.sources.tables import load_master, write_catalog, write_report
 
 def build_master(
     spark: SparkSession, paths: dict[str, str], out: str, as_of: str,
-    unit_suppliers: tuple[str, ...] = (), multi_line: bool = False,
+    unit_suppliers: tuple[str, ...] = (), multi_line: bool | None = None,
 ) -> DataFrame:
     """Read the catalogs, write ``clean``, ``master``, ``report`` and its CSV copy ``report_csv`` under ``out``, return the report."""
     catalogs = read_catalogs(spark, paths, multi_line)

@@ -31,11 +31,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
-def read_catalog(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted value may go over a line's end: the line where it starts holds an odd number of quotes."""
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def read_catalog(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """All columns as strings, null tokens as nulls, plus the row's place in the input.
 
-    ``multi_line`` allows line breaks inside quotes but makes each file one task.
+    Files without a line break inside quotes are read in splits, others whole, one task per file. Which
+    they are is looked up in one distributed scan unless ``multi_line`` states it.
     """
+    if multi_line is None:
+        multi_line = has_quoted_breaks(spark, path)
     raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multi_line)
     values = [null_token_to_null(F.col(f"`{name}`")).alias(name) for name in raw.columns]
     return raw.select(
@@ -63,7 +73,7 @@ def standardize_columns(df: DataFrame, supplier: str) -> DataFrame:
     return df.withColumn("Supplier", F.lit(supplier))
 
 
-def read_catalogs(spark: SparkSession, paths: dict[str, str], multi_line: bool = False) -> dict[str, DataFrame]:
+def read_catalogs(spark: SparkSession, paths: dict[str, str], multi_line: bool | None = None) -> dict[str, DataFrame]:
     """One DataFrame per supplier, in the given order; missing files are skipped with a warning."""
     catalogs = {}
     for supplier, path in paths.items():

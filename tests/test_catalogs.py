@@ -73,10 +73,15 @@ def test_missing_serial_becomes_null(spark):
     assert df.first().asDict() == {"Product_Name": "x", "Serial_Number": None, "Supplier": "Acme"}
 
 
-def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
-    (tmp_path / "m.csv").write_text('Name,Unit\n"two\nlines",x\n')
-    df = read_catalogs(spark, {"M": str(tmp_path / "m.csv")}, multi_line=True)["M"]
-    assert df.first().Name == "two\nlines"
+@pytest.mark.parametrize("text, want", [
+    ('Name,Unit\n"two\nlines",x\n', [("two\nlines", "x")]),
+    ('Name,Unit\n"say ""hi""",x\n"two ""\n\nlines",y\n', [('say "hi"', "x"), ('two "\n\nlines', "y")]),
+    ('Name,Unit\n"say ""hi""",x\n5" pipe,y\n', [('say "hi"', "x"), ('5" pipe', "y")]),
+])
+def test_quoted_line_breaks_do_not_split_rows(spark, tmp_path, text, want):
+    (tmp_path / "m.csv").write_text(text)
+    df = read_catalogs(spark, {"M": str(tmp_path / "m.csv")})["M"]
+    assert [(r.Name, r.Unit) for r in df.collect()] == want
 
 
 def test_input_order_over_many_splits(spark, tmp_path):

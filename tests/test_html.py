@@ -36,6 +36,9 @@ def test_product_page(spark):
     ("<span class='a-offscreen'> </span><span class='a-offscreen'>7</span>", "page_price", None),
     ("<span class='a-price'><span>1</span></span><span class='a-offscreen'>8</span>", "page_price", "8"),
     ("<span class='my-a-offscreen'>6</span>", "page_price", None),
+    ("<span class='a-offscreen'>first</span><span class='a-price'><span class='a-price s'></span><span class='a-offscreen'>AED 5</span></span>", "page_price", "AED 5"),
+    ("</span><span class='a-offscreen'>1</span><span class='a-price'>2</span><span class='a-offscreen'>3</span>", "page_price", "1"),
+    ("<span class='a-price'><span><span class='a-offscreen'>4<span>.5</span></span></span>", "page_price", "4.5"),
     ("<div id=imgTagWrapperId><img id='landingImage' data-old-hires='' src='s.jpg'></div>", "page_image", "s.jpg"),
     ("<img id='landingImage' src='s.jpg'><meta property='og:image' content='m.jpg'>", "page_image", "m.jpg"),
     ("<img alt='src=x.jpg'>", "page_image", None),
@@ -104,6 +107,64 @@ def test_result_list(spark):
     ]
 
 
+def test_results_end_with_their_block(spark):
+    block = "<div data-component-type='s-search-result'>{}</div>"
+    link = "<a class='a-link-normal s-line-clamp-4 s-link-style a-text-normal' href='{}'><h2 aria-label='t'><span>{}</span></h2></a>"
+    slots = [
+        block.format("<div>no link</div>") + "<div class='promo'>" + link.format("/promo", "Promo") + "</div>" + block.format(link.format("/1", "One")),
+        block.format("<div><div>" + link.format("/2", "Two") + "</div></div>"),
+    ]
+    page = "".join(f"<div class='x s-main-slot'>{slot}</div><p>{link.format('/out', 'Out')}</p>" for slot in slots)
+    df = spark.createDataFrame([("r", page)], "id string, html string")
+    got = [(r.position, r.url, r.title) for r in search_results(df, "id", "https://s/").collect()]
+    assert got == [(0, "Not Available", "Not Available"), (1, "https://s/1", "One"), (2, "https://s/2", "Two")]
+
+
+def nested_items(html):
+    """Item texts by a plain walk over tags, with explicit stacks."""
+    import re
+
+    items, open_, depth = [], [], 0
+    for piece in re.split(r"(?=</?(?:li|ul)>)", html):
+        tag = re.match(r"</?(?:li|ul)>", piece)
+        kind = tag[0] if tag else ""
+        depth += {"<ul>": 1, "</ul>": -1}.get(kind, 0)
+        if kind in ("<li>", "</li>"):
+            open_ = [o for o in open_ if o[0] != depth]
+        if kind == "</ul>":
+            open_ = [o for o in open_ if o[0] <= depth]
+        if kind == "<li>":
+            items.append([])
+            open_.append((depth, items[-1]))
+        for _, texts in open_:
+            texts.append(piece[len(kind):].strip())
+    return [" ".join(filter(None, texts)) for texts in items if any(texts)]
+
+
+def test_list_items_over_runs(spark):
+    import random
+
+    draw = random.Random(5)
+    for size in (1, 2, 3, 7, 60, 400):
+        html = "".join(draw.choice(["<ul>", "</ul>", "<li>", "<li>", "</li>"]) + draw.choice(["", f"t{i}"]) for i in range(size))
+        df = spark.createDataFrame([(html,)], "t string")
+        assert df.select(F.expr(H.list_items("t"))).first()[0] == nested_items(html), html
+
+
+def test_long_lists_take_linear_time(spark):
+    import time
+
+    def seconds(items):
+        html = "<div id='feature-bullets'><ul>" + "".join(f"<li>item {i}</li>" for i in range(items)) + "</ul></div>"
+        df = spark.createDataFrame([(html,)], "t string").select(F.expr(H.description("t")))
+        begin = time.time()
+        assert df.first()[0].count(" | ") == items - 1
+        return time.time() - begin
+
+    seconds(100)
+    assert seconds(16000) < 2.5 * seconds(8000) + 1
+
+
 def test_titles_from_pages(spark):
     head = "<h2 class='a-size-base-plus a-spacing-none a-color-base a-text-normal'><span>T{}</span></h2>"
     pages = spark.createDataFrame([(1, "u", head.format(1)), (2, "u", head.format(2))], "page_id int, url string, html string")
