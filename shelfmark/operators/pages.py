@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions import html as H
+from shelfmark.functions.bitmap import likely_in
 from shelfmark.functions.text import (
     absolute_url, brand_and_title, empty_to_null, or_not_available, path_without_query, price_text, utc_iso_stamp,
 )
@@ -20,25 +21,6 @@ BLOCKED = "Blocked by anti-bot"
 FIELDS = ["page_title", "page_description", "page_price", "page_image", "page_barcode"]
 
 
-#: Bits of the filter on wanted pages: 4096 bitmaps of 4 KB, 16 MB whatever the data.
-_BITMAP, _BITMAPS = 32768, 4096
-
-
-def _likely(pages: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``pages`` without most of those that ``chosen`` (url, page_id) does not name; nothing is shuffled.
-
-    The bitmaps hold one bit per hash of a chosen page, so they are broadcast at a fixed size. Pages that
-    share a bit with a chosen one pass too, so an exact join must follow.
-    """
-    spot = F.pmod(F.xxhash64("url", F.col("page_id").cast("string")), F.lit(_BITMAP * _BITMAPS))
-    spots = chosen.select(spot.alias("spot")).selectExpr(f"spot div {_BITMAP} AS __part", f"spot % {_BITMAP} AS place")
-    bitmaps = spots.groupBy("__part").agg(F.bitmap_construct_agg("place").alias("__bits"))
-    marked = pages.withColumn("__spot", spot).withColumn("__part", F.expr(f"__spot div {_BITMAP}"))
-    byte = f"CAST(conv(hex(substring(__bits, CAST(__spot % {_BITMAP} div 8 AS INT) + 1, 1)), 16, 10) AS INT)"
-    hit = F.expr(f"(shiftright({byte}, CAST(__spot % 8 AS INT)) & 1) = 1")
-    return marked.join(F.broadcast(bitmaps), "__part").filter(hit).select(*pages.columns)
-
-
 def latest_pages(pages: DataFrame, wanted: DataFrame | None = None, parse: Callable[[DataFrame], DataFrame] = lambda p: p) -> DataFrame:
     """One page per URL, the highest ``page_id``, as ``parse`` returns it (``url`` and ``page_id`` kept); ``wanted`` limits the URLs.
 
@@ -49,8 +31,9 @@ def latest_pages(pages: DataFrame, wanted: DataFrame | None = None, parse: Calla
     if wanted is not None:
         keys = keys.join(wanted, "url", "left_semi")
     chosen = keys.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    page = F.xxhash64("url", F.col("page_id").cast("string"))
     # not a semi join, which the optimizer would move below the parsing
-    return parse(_likely(pages, chosen)).join(chosen, ["url", "page_id"])
+    return parse(likely_in(pages, page, chosen, page)).join(chosen, ["url", "page_id"])
 
 
 def page_fields(pages: DataFrame, fallback_h1: bool = False) -> DataFrame:
