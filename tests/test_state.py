@@ -6,7 +6,7 @@ from shelfmark.operators import reports as R
 from shelfmark.operators import state as S
 from shelfmark.operators.pages import latest_pages, titles_from_pages
 from shelfmark.plans import enrich as E
-from shelfmark.plans.match import pending_records
+from shelfmark.plans.match import pending_records, run_match
 from shelfmark.streaming.enrich import start_enrichment
 
 AS_OF = "2025-01-02 03:04:05"
@@ -171,3 +171,31 @@ def test_ids_that_are_no_numbers(spark, work, tmp_path):
     assert E.current_products(spark, out).count() == 4
     assert spark.read.parquet(f"{out}/rejected/batch_id=b2").count() == 1
     assert spark.read.csv(f"{out}/scraped_products_csv", header=True).count() == 4
+
+
+def test_match_job_resumes(spark, tmp_path):
+    out = str(tmp_path / "out")
+    block = "<div data-component-type='s-search-result'><a class='a-link-normal s-line-clamp-4 s-link-style a-text-normal' href='/{}'><h2 aria-label='t'><span>{}</span></h2></a></div>"
+    page = lambda *titles: "<div class='s-main-slot'>" + "".join(block.format(i, t) for i, t in enumerate(titles)) + "</div>"
+    products = spark.createDataFrame(
+        [("1", "green tea"), ("2", "black coffee"), ("2", "zz other"), ("3", "lost"), (" ", "blank"), ("4", "rice")], "Serial_Number string, Product_Name string"
+    )
+    pages = spark.createDataFrame([
+        ("1", page("oolong", "green tea", *(f"x{i}" for i in range(8)))), ("2", page("black coffee")), ("4", page()), ("9", page("green tea")),
+    ], "id string, html string")
+    read = lambda table: spark.read.parquet(f"{out}/{table}")
+    run_match(spark, products.filter("Serial_Number < '3'"), pages, out, "b1", AS_OF, SITE)
+    for _ in range(2):
+        run_match(spark, products, pages, out, "b2", AS_OF, SITE)
+    run_match(spark, products, pages, out, "b3", AS_OF, SITE)
+    na = "Not Available"
+    got = {r.serial_number: (r.input_title, r.matched_url, r.status) for r in read("matches").collect()}
+    assert read("matches").count() == 4 and got["1"] == ("green tea", SITE + "1", "Available") and got["2"][:2] == ("black coffee", SITE + "0")
+    assert got["3"][2] == na and got["4"][2] == na
+    assert {r.serial_number: r.outcome for r in read("search_ledger").collect()} == {"1": "done", "2": "done", "3": "failed", "4": "done"}
+    assert read("candidates").groupBy("id").count().orderBy("id").collect() == [("1", 5), ("2", 1)]
+    augmented = {r.serial_number: r for r in spark.read.json(f"{out}/augmented").collect()}
+    assert len(augmented) == 4 and augmented["1"].url_2_similarity == 1.0 and augmented["3"].url_1 == na
+    found = pages.union(spark.createDataFrame([("3", page("lost"))], pages.schema))
+    run_match(spark, products, found, out, "b4", AS_OF, SITE, retry_failed=True)
+    assert [(r.serial_number, r.status) for r in read("matches").filter("batch_id = 'b4'").collect()] == [("3", "Available")]
