@@ -122,10 +122,14 @@ def page_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored pages with results in two slots, and links like a result's that follow blocks and slots."""
     block = BLOCK
-    sql = f"""SELECT CAST(page_id AS string) AS id, '<html><body><div class="s-main-slot s-search">' ||
-      array_join(transform(slice(array(1, 2, 3, 4, 5, 6, 7), 1, CAST(page_id % 8 AS int)), i -> {block}), '') ||
-      '</div></body></html>' AS html FROM pages"""
+    decoy = "'<div class=\"promo\"><a class=\"a-link-normal s-line-clamp-4 s-link-style a-text-normal\" href=\"/promo\"><h2 aria-label=\"p\"><span>Promo</span></h2></a></div>'"
+    slot = lambda low, high: (
+        f"""'<div class="s-main-slot s-search">' || array_join(transform(filter(array(1, 2, 3, 4, 5, 6, 7),
+        i -> i <= page_id % 8 AND i BETWEEN {low} AND {high}), i -> {block} || {decoy}), '') || '</div>' || {decoy}"""
+    )
+    sql = f"SELECT CAST(page_id AS string) AS id, coalesce(html, '') || {slot(1, 3)} || {slot(4, 7)} AS html FROM pages"
     return run(spark, sf_dir, sql, "pages")
 
 

@@ -350,6 +350,7 @@ _E2_PAIRS = f"""SELECT id, i AS rank, CASE WHEN i % 4 = 3 THEN 'Not Available' E
 ORACLE["e2_results_to_matches"] = f"""WITH {scores(_E2_PAIRS, 'id, rank, url')}, {BEST},
   records AS (SELECT CAST(page_id AS VARCHAR) AS id, 'S' || page_id AS serial_number, {_E2_TITLE} AS input_title FROM pages)
   SELECT r.id, serial_number, trim(input_title) AS input_title, {_DECIDED} FROM records r LEFT JOIN best USING (id)"""
+ORACLE["e2_resumed"] = f"SELECT * REPLACE ('S' || id AS id) FROM ({ORACLE['e2_results_to_matches']})"
 
 # Order, preview, end to end.
 ORACLE["l02_preview"] = f"WITH {CATALOG} {CLEAN} FROM clean ORDER BY source, p_partkey LIMIT 10"

@@ -568,6 +568,19 @@ def e2(spark, sf_dir):
     return PM.match_from_results(records, pages, D.SITE)
 
 
+@query("e2_resumed")
+def e2_resumed(spark, sf_dir):
+    """The matching job in batches, one of them repeated and one with nothing left to do."""
+    out = scratch(spark)
+    pages = D.result_pages(spark, sf_dir).withColumn("id", F.concat(F.lit("S"), "id"))
+    number = F.substring("id", 2, 20).cast("int")
+    titles = F.concat(F.lit("Brand1 Product 1 of "), F.when(number % 3 == 0, "").otherwise(number.cast("string")))
+    products = pages.select(F.col("id").alias("Serial_Number"), titles.alias("Product_Name"))
+    for batch, todo in (("1", products.filter("Serial_Number < 'S5'")), ("2", products), ("2", products), ("3", products)):
+        PM.run_match(spark, todo, pages, out, batch, D.AS_OF, D.SITE)
+    return spark.read.parquet(f"{out}/matches").drop("batch_id")
+
+
 @query("e3_resumed_batches")
 def e3(spark, sf_dir):
     out = scratch(spark)

@@ -89,7 +89,7 @@ def visible_markup(html: Sql) -> Sql:
 def decode_entities(text: Sql) -> Sql:
     """Decode ``&name;`` for the HTML 4 names and numeric references; others stay as written."""
     names = f"str_to_map({lit(_ENTITIES)}, chr(2), chr(3))"
-    whole = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});|[^&]+|&"
+    whole = r"&(?:#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});|[^&]+|&"
 
     def point(code: Sql) -> Sql:
         valid = f"{code} > 0 AND {code} < 1114112 AND {code} NOT BETWEEN 55296 AND 57343"
