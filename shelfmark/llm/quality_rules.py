@@ -1,6 +1,7 @@
 """Host-level quality rules: rule failures by host, shrunk by an empirical beta prior, joined back to documents.
 
-Every document gets its row rules from its whole text. A host's failure rate is not taken at face value: the rates of all
+Every document gets its row rules from its whole text: the base rule (``base_failed``) and the further ones of ``RULES`` over symbols
+per word, repeated lines and mean word length. A document that fails any of them is not kept and counts as a failure of its host. A host's failure rate is not taken at face value: the rates of all
 hosts fit a beta prior (method of moments), and a host's verdict comes from its posterior mean, so that a host with few
 documents is judged mostly by what hosts are like and a host with many by its own record.
 
@@ -20,11 +21,19 @@ from shelfmark.llm.words import SPACES, WordHashes, hash_words, in_chunks, mix,
 
 SYMBOLS = b"#*$%&|<>"
 _CONTINUED = bytes(range(0x80, 0xC0))
+#: Further rules; a document without words fails by the base rule alone. Symbols over a tenth of the words; over half of the lines
+#: repeat an earlier one; a mean word of under 2 or over 12 characters.
+RULES = {
+    "symbols_failed": lambda m: (m["n_words"] > 0) & (10 * m["n_symbols"] > m["n_words"]),
+    "lines_failed": lambda m: 2 * m["n_dup_lines"] > m["n_lines"],
+    "length_failed": lambda m: (m["n_words"] > 0) & ((m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 12 * m["n_words"])),
+}
 _MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+_VERDICTS = ", ".join(f"{c} boolean" for c in ("base_failed", *RULES, "failed"))
 
 
 def measure(texts: list[bytes], known: WordHashes) -> dict[str, np.ndarray]:
-    """The five measures of every text."""
+    """The five measures of every text, and n_lines (with a word)."""
     hashes, starts = hash_words(texts, known)
     n_words = np.diff(starts)
     three = windows(hashes, 3)
@@ -38,17 +47,18 @@ def measure(texts: list[bytes], known: WordHashes) -> dict[str, np.ndarray]:
         found = within[order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]]
         for shift in range(3):
             repeated[found + shift] = True
-    dup_lines = np.zeros(len(texts), np.int64)
+    dup_lines, n_lines = np.zeros(len(texts), np.int64), np.minimum(n_words, 1)
     for i, x in enumerate(texts):
         if b"\n" in x:
             lines = [line for line in x.split(b"\n") if line.strip(SPACES)]
-            dup_lines[i] = len(lines) - len(set(lines))
+            dup_lines[i], n_lines[i] = len(lines) - len(set(lines)), len(lines)
     return {
         "n_words": n_words,
         "word_chars": np.fromiter((len(x.translate(None, SPACES + _CONTINUED)) for x in texts), np.int64, len(texts)),
         "n_symbols": np.fromiter((len(x) - len(x.translate(None, SYMBOLS)) for x in texts), np.int64, len(texts)),
         "n_dup_lines": dup_lines,
         "n_repeat_words": sums(repeated[: len(hashes)], starts),
+        "n_lines": n_lines,
     }
 
 
@@ -57,19 +67,24 @@ def failing(m: dict[str, np.ndarray]) -> np.ndarray:
     return (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
 
 
+def verdicts(m: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Per rule whether a document fails it, and ``failed``: it fails any."""
+    found = {"base_failed": failing(m), **{name: rule(m) for name, rule in RULES.items()}}
+    return {**found, "failed": np.logical_or.reduce(list(found.values()))}
+
+
 def document_measures(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """One row per document: key, host, the measures and base_failed."""
+    """One row per document: key, host, the measures and the verdict of every rule."""
 
     def run(batches):
         known = WordHashes()
         for part, texts in in_chunks(batches):
             m = measure(texts, known)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("key"), part.column("host"), *(pa.array(x) for x in m.values()), pa.array(failing(m))], ["key", "host", *m, "base_failed"]
-            )
+            columns = {**m, **verdicts(m)}
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("host"), *(pa.array(x) for x in columns.values())], ["key", "host", *columns])
 
     narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"key long, host string, {_MEASURES}, base_failed boolean")
+    return narrow.mapInArrow(run, f"key long, host string, {_MEASURES}, n_lines long, {_VERDICTS}")
 
 
 def host_rates(measures: DataFrame) -> DataFrame:
@@ -79,7 +94,7 @@ def host_rates(measures: DataFrame) -> DataFrame:
     alone explains; without such excess (or with one host) the prior is as strong as the mean host is large.
     """
     hosts = stage(
-        measures.filter("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")),
+        measures.filter("host IS NOT NULL").groupBy("host").agg(F.count("*").alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed")),
         "hosts",
     )
     rate = F.col("n_failed") / F.col("n_docs")
@@ -102,18 +117,18 @@ def judge(docs: DataFrame, reject_rate: float = 0.75, key: str = "doc_id", text:
     hosts = host_rates(measures).select(F.col("host").alias("of_host"), "shrunk_rate")
     judged = measures.join(hosts, F.col("host") == F.col("of_host"), "left").drop("of_host")
     rejected = F.coalesce(F.col("shrunk_rate") >= reject_rate, F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & ~rejected)
+    return judged.withColumn("kept", ~F.col("failed") & ~rejected).drop("n_lines", *RULES, "failed")
 
 
 def keep_good(docs: DataFrame, reject_rate: float = 0.75, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with all their columns; their text is never shuffled for its own rules."""
-    measures = stage(document_measures(docs, key, text, host).select("host", "base_failed"), "measures")
+    measures = stage(document_measures(docs, key, text, host).select("host", "failed"), "measures")
     rejected = host_rates(measures).filter(F.col("shrunk_rate") >= reject_rate).select(F.col("host").alias("__rejected_host"))
 
     def run(batches):
         known = WordHashes()
         for part, texts in in_chunks(batches, text=text):
-            yield part.filter(pa.array(~failing(measure(texts, known))))
+            yield part.filter(pa.array(~verdicts(measure(texts, known))["failed"]))
 
     passed = docs.mapInArrow(run, docs.schema)
     return passed.join(rejected, F.col(host).cast("string") == F.col("__rejected_host"), "left_anti")

@@ -115,6 +115,17 @@ def test_hosts_are_shrunk_and_rejected(documents):
     assert rates["small"]["shrunk_rate"] < rates["small"]["rate"] and rates["bad"]["shrunk_rate"] > 0.75
 
 
+def test_further_rules_fail_documents_and_feed_hosts(documents):
+    good = " ".join(f"word{i}" for i in range(60))
+    bad = {1: good + " #" * 9, 2: "\n".join([good, *["one line"] * 5]), 3: " ".join("abcdefghi"[i % 9] for i in range(60)), 4: " ".join(f"{'x' * 12}{i}" for i in range(60))}
+    rows = [(0, good, "h"), *((i, t, "h") for i, t in bad.items()), *((10 + i, good + " $%&|" * 4, "symbols") for i in range(90)), (200, good, "symbols")]
+    rows += [(300 + i, good, f"h{i % 20}") for i in range(400)]
+    got = {r["key"]: r for r in quality_rules.judge(documents(rows)).collect()}
+    assert not got[1]["base_failed"] and not any(got[i]["kept"] for i in bad) and got[0]["kept"]
+    assert not got[200]["base_failed"] and not got[200]["kept"] and got[300]["kept"]  # its host fails by symbols alone
+    assert {r["doc_id"] for r in quality_rules.keep_good(documents(rows)).collect()} == {k for k, r in got.items() if r["kept"]}
+
+
 def plain_jump(key, shards):
     at, ahead = -1, 0
     while ahead < shards:
