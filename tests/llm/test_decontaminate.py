@@ -36,6 +36,18 @@ def test_copies_and_other_values(documents, items):
     assert {r["doc_id"] for r in kept.collect()} == set(range(11)) - {d for d, _ in got} and "spans" in kept.columns
 
 
+def test_capitals_line_breaks_and_first_words(documents, spark):
+    bench = [*ITEMS[:3], (10, "Olga buys 5 red apples at market. Olga eats 2 green apples at home. Olga sells 3 old apples at school. How many apples are left?"),
+             (11, "Paris Lyon Marseille Toulouse Nice Nantes Strasbourg Montpellier Bordeaux Lille"), (12, "Water boils at sea level"),
+             (13, "She picked every flower beside that river\nMorning came and nobody saw them leave again")]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    ivan = bench[3][1].replace("Olga", "Ivan").replace("5 red", "6 red")
+    texts = [ITEMS[0][1].upper(), ITEMS[2][1].title(), ITEMS[1][1].upper(), ivan, f"cities are {bench[4][1]} and others", "we know that Water boils at sea level here",
+             bench[6][1].replace("\n", " "), ivan.replace("Ivan eats", "Anna eats"), "nothing of the kind is in this text at all"]
+    got = {k: r["same_values"] for k, r in leaks(documents(texts), items).items()}
+    assert got == {(0, 0): True, (1, 2): True, (2, 0): True, (3, 10): False, (4, 11): True, (5, 12): True, (6, 13): True}
+
+
 def test_planted_copies_in_random_text(documents, spark):
     rng = random.Random(7)
     word = lambda: f"w{rng.randint(0, 400)}x"
