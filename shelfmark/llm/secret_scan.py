@@ -25,10 +25,11 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 #: Runs are whole because nothing of their own class comes before them.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
-#: A wider context than the fixed pattern: more names, more signs between name and value, any visible value.
+#: A wider context than the fixed pattern: more names, also after a camel-case boundary, more signs between name and value with any
+#: spaces and tabs around them, any visible value; between matching quotes on one line the whole text is the value.
 CONTEXT = re.compile(
-    r"(?<![a-z])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|secret|auth|client)[_-]?(?:key|secret|token)|login|auth)"
-    r"[\"']?\x20{0,8}(?::=|=>|[:=])\x20{0,8}(?:[\"']([^\"'\x00-\x20]+)|([^\"'\x00-\x20]+))",
+    r"(?:(?<![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|(?:api|access|private|secret|auth|client)[_-]?(?:key|secret|token)|login|auth)"
+    r"[\"']?[\x20\t]*+(?::=|=>|[:=])[\x20\t]*+(?:\"([^\"\x00-\x08\x0A-\x1F]+)\"|'([^'\x00-\x08\x0A-\x1F]+)'|[\"']?([^\"'\x00-\x20]+))",
     re.IGNORECASE | re.ASCII,
 )
 _NAMES = (b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"login", b"auth")
@@ -113,8 +114,8 @@ def spans_of(text: str, low: bytes, ranks: dict[str, int], longest: int, least_c
     if any(name in low for name in _NAMES):
         found += [(m.start(), 0, m.end(), 0.0) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
         for m in CONTEXT.finditer(text):
-            at = m.span(1 if m[1] is not None else 2)
-            value = text[slice(*at)].rstrip(".,;:!?)]}")
+            at = m.span(m.lastindex)
+            value = m[m.lastindex] if m.lastindex < 3 else m[3].rstrip(".,;:!?)]}")
             if value and (cost := guess_cost(value, ranks, longest)) >= least_cost:
                 found.append((at[0], 3, at[0] + len(value), cost))
     if "AKIA" in text:

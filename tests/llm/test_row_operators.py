@@ -88,6 +88,14 @@ def test_guess_costs(documents):
     assert {r["key"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] == "guess"] for r in got} == {0: [("guess", 7, 19)], 1: [], 2: []}
 
 
+def test_guess_values_are_whole(documents):
+    cases = [('password: "correct horse battery staple"', "correct horse battery staple"), ('passphrase: "my dog ate 8 bones!"', "my dog ate 8 bones!"),
+             (f"password{' ' * 12}=\t S3cr&t!xQz", "S3cr&t!xQz"), ('userPassword="zQ9$kf81Lm2x"', "zQ9$kf81Lm2x"), ("token = 'it is \"zQ9$kf81\" now'", 'it is "zQ9$kf81" now'),
+             ('password: "zQ9$kf81Lm2x\nnext line"', "zQ9$kf81Lm2x"), ("compassword: zQ9$kf81Lm2x", None)]
+    got = {r["key"]: [cases[r["key"]][0][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "guess"] for r in secret_scan.scan(documents([t for t, _ in cases])).collect()}
+    assert got == {i: [v] if v else [] for i, (_, v) in enumerate(cases)}
+
+
 def plain_measures(text):
     words = WORDS.findall(text)
     three = collections.Counter(zip(words, words[1:], words[2:]))
