@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chosen_path, decontaminate, html_templates, line_dedup, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup
+from shelfmark.llm import chosen_path, decontaminate, html_templates, line_dedup, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup, variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,8 @@ def op9(spark, sf_dir):
 @query("op10_host_rules")
 def op10(spark, sf_dir):
     return quality_rules.judge(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id").withColumnRenamed("host", "source")
+
+
+@query("op13_variants")
+def op13(spark, sf_dir):
+    return variants.group_variants(variants.count_words(read(spark, sf_dir, "documents")))
