@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chosen_path, decontaminate, html_templates, line_dedup, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup, variants
+from shelfmark.llm import chosen_path, decontaminate, hard_negatives, html_templates, line_dedup, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup, variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,6 +92,18 @@ def op10(spark, sf_dir):
     return quality_rules.judge(read(spark, sf_dir, "documents")).withColumnRenamed("key", "doc_id").withColumnRenamed("host", "source")
 
 
+@query("op11_hard_negatives")
+def op11(spark, sf_dir):
+    finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))  # false for NaN, which is above all
+    rows = read(spark, sf_dir, "embeddings").filter(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite)
+    label = F.col("label").cast("long")
+    rows = rows.select(
+        F.col("vec_id").cast("long").alias("id"), F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("v"),
+    )
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 @query("op13_variants")
 def op13(spark, sf_dir):
     return variants.group_variants(variants.count_words(read(spark, sf_dir, "documents")))
