@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chosen_path, decontaminate, hard_negatives, html_templates, line_dedup, packing, quality_rules, sanitise, secret_scan, sharding, substring_dedup, variants
+from shelfmark.llm import chosen_path, decontaminate, hard_negatives, html_templates, line_dedup, packing, pu_quality, quality_rules, sanitise, secret_scan, sharding, substring_dedup, variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +104,15 @@ def op11(spark, sf_dir):
     return hard_negatives.mine(rows, F.col("id") % 100 == 0)
 
 
+@query("op12_pu_quality")
+def op12(spark, sf_dir):
+    """Labels of the fold with remainder 1 teach nothing; a document with a label 1 and none of 0 is a trusted one."""
+    held_out = lambda key: F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
+    labels = read(spark, sf_dir, "labels").filter(~held_out("doc_id")).groupBy(F.col("doc_id").alias("key")).agg(F.min("quality").alias("least"))
+    found = pu_quality.learn_and_score(read(spark, sf_dir, "documents"), labels.filter("least = 1"), held_out("key"))
+    return found.withColumnRenamed("key", "doc_id")
+
+
 @query("op13_variants")
 def op13(spark, sf_dir):
     return variants.group_variants(variants.count_words(read(spark, sf_dir, "documents")))
