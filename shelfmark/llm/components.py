@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.scratch import stage
+from shelfmark.llm.scratch import discard, stage
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -26,13 +26,15 @@ def components(edges: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        edges = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         # the node itself, if it is not its lowest, hangs below the lowest through the edge from that neighbour
-        edges = stage(edges.filter("a <> b").distinct(), "large")
-        least = edges.groupBy("a").agg(F.min("b").alias("low"))
-        linked = edges.join(least, "a")
+        large = stage(large.filter("a <> b").distinct(), "large")
+        discard(edges)
+        least = large.groupBy("a").agg(F.min("b").alias("low"))
+        linked = large.join(least, "a")
         small = linked.filter("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(least.select("a", F.col("low").alias("b")))
         edges = stage(small.distinct(), "small")
+        discard(large)
         before, state = state, _state(edges)
         if state == before:
             break
