@@ -54,6 +54,15 @@ RECORD_TITLES = """SELECT CAST(p_partkey AS varchar(20)) AS id, 'S' || p_partkey
 ITEM_TITLES = """SELECT p_partkey AS key, 'https://shop.example.com/dp/' || p_partkey AS url,
  p_brand || ' ' || p_name || ' ' || p_size AS title FROM part"""
 
+# Titles of one template: all of them share four tokens or more of five, and differ in a number.
+TEMPLATED = "SELECT {key}, 'account in ' || lower(c_mktsegment) || ' area ' || CASE c_nationkey % 3 WHEN 0 THEN 'north no' ELSE 'no' END || (c_custkey {change}) AS title FROM customer"
+TEMPLATED_RECORDS = TEMPLATED.format(key="c_custkey AS id", change="% 500")
+TEMPLATED_ITEMS = TEMPLATED.format(key="c_custkey AS key, 'https://shop.example.com/ac/' || c_custkey AS url", change="* 7")
+LONG_RECORDS = "SELECT item_id AS id, text AS title FROM benchmark UNION ALL SELECT p_partkey + 1000000, p_name || ' ' || p_type FROM part"
+LONG_ITEMS = "SELECT doc_id AS key, source AS url, text AS title FROM documents"
+REPEATED_RECORDS = """SELECT CAST(p_partkey % 50 AS varchar(20)) AS id, 'S' || p_partkey AS serial_number,
+ p_brand || ' ' || p_type || ' ' || p_name AS input_title FROM part"""
+
 FRAGMENT = """CASE WHEN page_id % 3 = 0 THEN '<div id="titleSection"><h1 id="title"><span id="productTitle" class="a-size-large">  Item <b>' || page_id || '</b> &amp; Co  pack </span></h1></div>' ELSE '' END
 || CASE page_id % 5
  WHEN 0 THEN '<span id="priceblock_ourprice"> </span><span class="a-price b"><span class="a-offscreen">AED&nbsp;' || page_id || '.50</span><span aria-hidden="true">x</span></span>'

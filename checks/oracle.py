@@ -237,6 +237,15 @@ retrieved AS (SELECT rec.id, rank, key, url, ranked.title, similarity FROM rec J
 _RECORDS = f"SELECT id, serial_number, input_title, input_title AS title FROM ({D.RECORD_TITLES})"
 ORACLE["t10_retrieve_candidates"] = f"""WITH {brute_force(_RECORDS, D.ITEM_TITLES, 0.6)}
   SELECT id, rank, key, url, title, round(similarity, 3) AS similarity FROM retrieved"""
+ORACLE["t10_templated"] = f"""WITH {brute_force(D.TEMPLATED_RECORDS, D.TEMPLATED_ITEMS, 0.6)}
+  SELECT id, rank, key, url, title, round(similarity, 3) AS similarity FROM retrieved"""
+ORACLE["t10_long_documents"] = f"""WITH {brute_force(D.LONG_RECORDS, D.LONG_ITEMS, 0.4)}
+  SELECT id, rank, key, url, round(similarity, 3) AS similarity FROM retrieved"""
+_REPEATED = f"SELECT serial_number AS id, input_title AS title FROM ({D.REPEATED_RECORDS})"
+ORACLE["t11_repeated_ids"] = f"""WITH {brute_force(_REPEATED, D.ITEM_TITLES, 0.6)}
+  SELECT r.id, serial_number, input_title, CASE WHEN b.id IS NULL THEN 'Not available everywhere' ELSE b.url END AS matched_url,
+    CASE WHEN b.id IS NULL THEN 'Not Available' ELSE 'Available' END AS status
+  FROM ({D.REPEATED_RECORDS}) r LEFT JOIN (SELECT id, url FROM retrieved WHERE rank = 1) b ON r.serial_number = b.id"""
 ORACLE["t11_match_summary"] = f"""WITH {brute_force(_RECORDS, D.ITEM_TITLES, 0.6)}
   SELECT r.id, serial_number, input_title, CASE WHEN b.id IS NULL THEN 'Not available everywhere' ELSE b.url END AS matched_url,
     CASE WHEN b.id IS NULL THEN 'Not Available' ELSE 'Available' END AS status

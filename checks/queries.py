@@ -458,6 +458,25 @@ def t10(spark, sf_dir):
     return found.select("id", "rank", "key", "url", "title", F.round("similarity", 3).alias("similarity"))
 
 
+@query("t10_templated")
+def t10_templated(spark, sf_dir):
+    found = C.retrieve(D.run(spark, sf_dir, D.TEMPLATED_RECORDS, "customer"), D.run(spark, sf_dir, D.TEMPLATED_ITEMS, "customer"))
+    return found.select("id", "rank", "key", "url", "title", F.round("similarity", 3).alias("similarity"))
+
+
+@query("t10_long_documents")
+def t10_long(spark, sf_dir):
+    """Benchmark passages and part names against whole documents."""
+    records, items = D.run(spark, sf_dir, D.LONG_RECORDS, "benchmark", "part"), D.run(spark, sf_dir, D.LONG_ITEMS, "documents")
+    found = C.retrieve(records, items, threshold=0.4)
+    return found.select("id", "rank", "key", "url", F.round("similarity", 3).alias("similarity"))
+
+
+@query("t11_repeated_ids")
+def t11_repeated(spark, sf_dir):
+    return PM.match_from_catalog(D.run(spark, sf_dir, D.REPEATED_RECORDS, "part"), D.run(spark, sf_dir, D.ITEM_TITLES, "part"))
+
+
 @query("t11_match_summary")
 def t11(spark, sf_dir):
     records, items = retrieval_inputs(spark, sf_dir)

@@ -78,7 +78,7 @@ def _number_bags(bags: DataFrame) -> DataFrame:
     return (
         bags.join(terms, "bag")
         .select(
-            F.monotonically_increasing_id().alias("bag_id"), "bag", "is_record", "is_item", "terms",
+            F.monotonically_increasing_id().alias("bag_id"), "bag", "is_record", "is_item", "item_key", "terms",
             F.expr("aggregate(terms, 0L, (n, x) -> n + x.tf)").alias("length"),
         )
         .checkpoint()
@@ -171,57 +171,123 @@ def _sized_keys(threshold: float, longest: int) -> Sql:
     return let(row, lambda r: f"flatten({each('transform', f'sequence(1, {longest})', lambda other: for_size(r, other))})")
 
 
-def _short_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
+def _scored_where(shared_is: Sql) -> Sql:
+    # Score of two texts without repeats, 0 where ``shared_is`` does not hold: a pair is scored at one meeting place only.
+    # Not nullable, so that a filter on the score does not evaluate it again for a null check.
+    score = lambda shared: cosine_of_sizes("record_size", "item_size", f"size({shared})")
+    value = let("array_intersect(record_words, item_words)", lambda s: f"CASE WHEN {shared_is.format(s=s)} THEN {score(s)} ELSE 0D END")
+    return f"coalesce({value}, 0D) AS similarity"
+
+
+# A meeting place: the rarest shared tokens so far, in order, and both sizes. ``closed`` places are for pairs that share no more.
+_PLACE = ["path", "closed", "record_size", "item_size"]
+_PREFIX = "slice({s}, 1, size(path)) = path AND (NOT closed OR size({s}) = size(path))"
+_CROWDED = 32
+
+
+def _crowded(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Places where joining both sides makes many more pairs than rows."""
+    counts = [rows.groupBy(*_PLACE).agg(F.count("*").alias(name)) for rows, name in ((left, "n"), (right, "m"))]
+    return counts[0].join(counts[1], _PLACE).filter(F.col("n") * F.col("m") > _CROWDED * (F.col("n") + F.col("m"))).select(*_PLACE)
+
+
+def _top_pairs(left: DataFrame, right: DataFrame, least: Sql, top: int) -> DataFrame:
+    """Scored pairs of texts without repeats that hold every record's ``top`` best items, by score and key; most other pairs are not made.
+
+    At a crowded place (a template that a large part of the titles share) pairs that share just its path all score the same, so
+    only the ``top`` items of lowest key enter the join: an item behind them is behind them in every record's order as well, since
+    they share the path or more. Pairs that share more go on to the places of one token more, which are treated alike.
+    """
+    need = f"get(get({least}, record_size - 1), item_size - 1)"
+    pairs = ["record_bag", "item_bag"]
+    found = None
+    while True:
+        crowded = _crowded(left, right).checkpoint()
+        if crowded.isEmpty():
+            met = left.join(right, _PLACE).selectExpr(*pairs, _scored_where(_PREFIX))
+            return met if found is None else found.unionByName(met)
+        sides = [rows.join(crowded, _PLACE).checkpoint() for rows in (left, right)]
+        rest = [rows.join(crowded, _PLACE, "left_anti") for rows in (left, right)]
+        met = rest[0].join(rest[1], _PLACE).selectExpr(*pairs, _scored_where(_PREFIX))
+        lowest = first_per_key(sides[1], _PLACE, ["item_key", "item_bag"], top)
+        ends = sides[0].filter(F.expr(f"size(path) >= {need}")).join(lowest, _PLACE)
+        met = met.unionByName(ends.selectExpr(*pairs, _scored_where("{s} = path")))
+        found = met if found is None else found.unionByName(met)
+
+        def onward(rows: DataFrame, side: str) -> DataFrame:
+            words, size = f"{side}_words", f"{side}_size"
+            last = f"CAST(array_position({words}, element_at(path, -1)) AS INT)"
+            # at a later place, with enough tokens left to reach what the sizes ask for
+            fits = let(f"named_struct('last', {last}, 'need', {need})", lambda x: (
+                f"filter(transform({words}, (t, i) -> named_struct('token', t, 'at', i + 1)),"
+                f" y -> y.at > {x}.last AND size(path) + 1 + {size} - y.at >= {x}.need)"
+            ))
+            kept = [c for c in rows.columns if c != "path"]
+            return rows.filter("NOT closed").selectExpr(*kept, "path AS before", f"explode({fits}) AS next").selectExpr(
+                *kept, "concat(before, array(next.token)) AS path"
+            )
+
+        left, right = onward(sides[0], "record"), onward(sides[1], "item")
+
+
+def _short_pairs(bags: DataFrame, threshold: float, longest: int, top: int) -> DataFrame:
     # Keyed by token pairs and scored in the join. A pair meets under several keys but is scored
     # only under its rarest shared tokens, and is 0 elsewhere, so no distinct is needed.
     words = "flatten(transform(terms, x -> array_repeat(x.token, CAST(x.tf AS INT)))) AS words"
-    bags = bags.selectExpr("bag_id", "is_record", "is_item", "terms", words, "size(terms) = length AS plain")
+    bags = bags.selectExpr("bag_id", "is_record", "is_item", "item_key", "terms", words, "size(terms) = length AS plain")
 
     def keyed(rows: DataFrame, side: str, keys: Sql) -> DataFrame:
-        return rows.selectExpr(f"bag_id AS {side}_bag", f"words AS {side}_words", f"explode({keys}) AS key")
+        return rows.selectExpr(f"bag_id AS {side}_bag", f"words AS {side}_words", "item_key", f"explode({keys}) AS key")
 
-    def scored(left: DataFrame, right: DataFrame, on: list[str], score) -> DataFrame:
+    def general(left: DataFrame, right: DataFrame) -> DataFrame:
         value = let("array_intersect(record_words, item_words)", lambda shared: (
-            f"CASE WHEN {shared}[0] <> first OR coalesce(get({shared}, 1), 0L) <> second THEN 0D ELSE {score(shared)} END"
+            f"CASE WHEN {shared}[0] <> first OR coalesce(get({shared}, 1), 0L) <> second THEN 0D"
+            f" ELSE {cosine_general('record_words', 'item_words')} END"
         ))
-        # Not nullable, so that a filter on the score does not evaluate it again for a null check.
-        return left.join(right, on).select("record_bag", "item_bag", F.expr(f"coalesce({value}, 0D)").alias("similarity"))
+        parts = "key.first AS first", "key.second AS second"
+        sides = (keyed(rows, side, loose).selectExpr(f"{side}_bag", f"{side}_words", *parts) for rows, side in ((left, "record"), (right, "item")))
+        return next(sides).join(next(sides), ["first", "second"]).select("record_bag", "item_bag", F.expr(f"coalesce({value}, 0D)").alias("similarity"))
 
     records, items = bags.filter("is_record"), bags.filter("is_item")
-    sized = _sized_keys(threshold, longest)
-    parts = "key.first AS first", "key.second AS second"
-    plain = scored(
-        keyed(records.filter("plain"), "record", sized).selectExpr(
-            "record_bag", "record_words", *parts, "size(record_words) AS record_size", "key.other AS item_size"),
-        keyed(items.filter("plain"), "item", sized).selectExpr(
-            "item_bag", "item_words", *parts, "key.other AS record_size", "size(item_words) AS item_size"),
-        ["first", "second", "record_size", "item_size"],
-        lambda shared: cosine_of_sizes("size(record_words)", "size(item_words)", f"size({shared})"),
-    )
+    sized, loose = _sized_keys(threshold, longest), _pair_keys(threshold)
+    place = "key.second = 0 AS closed", "IF(key.second = 0, array(key.first), array(key.first, key.second)) AS path"
+    left = keyed(records.filter("plain"), "record", sized).selectExpr(
+        "record_bag", "record_words", *place, "size(record_words) AS record_size", "key.other AS item_size")
+    right = keyed(items.filter("plain"), "item", sized).selectExpr(
+        "item_bag", "item_words", "item_key", *place, "key.other AS record_size", "size(item_words) AS item_size")
+    plain = _top_pairs(left, right, _least_shared(threshold, longest), top)
     # Pairs with a repeated token on some side.
-    loose = _pair_keys(threshold)
-    general = lambda left, right: scored(
-        keyed(left, "record", loose).selectExpr("record_bag", "record_words", *parts),
-        keyed(right, "item", loose).selectExpr("item_bag", "item_words", *parts),
-        ["first", "second"],
-        lambda shared: cosine_general("record_words", "item_words"),
-    )
     from_repeats = general(records.filter("NOT plain"), items)
     to_repeats = general(records.filter("plain"), items.filter("NOT plain"))
     return plain.unionByName(from_repeats).unionByName(to_repeats)
 
 
+def _reach(own: str, other: str) -> Sql:
+    # The most that what is shared can add to one side's part of the score: its remaining squared counts, or as many of its
+    # largest counts as the other side has tokens left.
+    most = f"least({own}_rest, {other}_left * {own}_most)"
+    return let(most, lambda s: f"{s} / ({s} + ({own}_all - {s}) * {LONE_WEIGHT!r}D)")
+
+
 def _long_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
-    # Pairs with a long side: single-token keys carry ids only, and the texts join in afterwards.
+    # Pairs with a long side: single-token keys carry ids and what is left of the text from that token on. Where a pair meets
+    # first, all it shares lies from there on, so the bound of the score holds there; pairs under it never get their texts.
+    # Each token before counts for one or more.
     keyed = bags.selectExpr(
-        "bag_id", "is_record", "is_item", f"length > {longest} AS is_long",
-        f"explode({_token_keys(threshold)}) AS key",
+        "bag_id", "is_record", "is_item", f"length > {longest} AS is_long", "size(terms) AS n",
+        "array_max(transform(terms, x -> x.tf * x.tf)) AS most", "aggregate(terms, 0L, (n, x) -> n + x.tf * x.tf) AS whole",
+        f"posexplode({_token_keys(threshold)}) AS (at, key)",
     )
-    left = keyed.filter("is_record").selectExpr("key", "bag_id AS record_bag", "is_long")
-    right = keyed.filter("is_item").selectExpr("key", "bag_id AS item_bag", "is_long")
-    from_long = left.filter("is_long").drop("is_long").join(right.drop("is_long"), "key")
-    to_long = left.filter("NOT is_long").drop("is_long").join(right.filter("is_long").drop("is_long"), "key")
-    met = from_long.unionByName(to_long).select("record_bag", "item_bag").distinct()
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.selectExpr(
+            "key", f"bag_id AS {name}_bag", f"is_long AS {name}_is_long", f"n - at AS {name}_left", f"most AS {name}_most",
+            f"whole AS {name}_all", f"whole - at AS {name}_rest",
+        )
+
+    bound = f"sqrt({_reach('record', 'item')} * {_reach('item', 'record')}) >= {threshold - 1e-9!r}D"
+    met = side(keyed.filter("is_record"), "record").join(side(keyed.filter("is_item"), "item"), "key")
+    met = met.filter("(record_is_long OR item_is_long)").filter(bound).select("record_bag", "item_bag").distinct()
     texts = bags.selectExpr("bag_id", "flatten(transform(terms, x -> array_repeat(x.token, CAST(x.tf AS INT)))) AS words")
     joined = met.join(texts.selectExpr("bag_id AS record_bag", "words AS a"), "record_bag").join(
         texts.selectExpr("bag_id AS item_bag", "words AS b"), "item_bag"
@@ -229,19 +295,15 @@ def _long_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
     return score_long_pairs(joined, ["record_bag", "item_bag"], "a", "b")
 
 
-def similar_bags(bags: DataFrame, threshold: float, longest: int = 32) -> DataFrame:
-    """All (record bag, item bag) pairs scoring at least ``threshold`` (above 0): exact, no frequency cap.
+def similar_bags(bags: DataFrame, threshold: float, longest: int = 32, top: int = 5) -> DataFrame:
+    """(record bag, item bag) pairs scoring at least ``threshold`` (above 0), with every record's ``top`` best: exact, no frequency cap.
 
     ``bags`` comes from :func:`_number_bags`. Bags of up to ``longest`` tokens meet under token
-    pairs, which keeps key groups small; their number is quadratic in the length, so longer bags
-    take single-token keys.
+    pairs, which keeps key groups small; their number is quadratic in the length, so pairs with a
+    longer bag take single-token keys and a bound of what is left from there on.
     """
-    short = _short_pairs(bags.filter(F.col("length") <= longest), threshold, longest)
-    if bags.filter(F.col("length") > longest).isEmpty():
-        found = short
-    else:
-        found = short.unionByName(_long_pairs(bags, threshold, longest))
-    return found.filter(F.col("similarity") >= threshold)
+    short = _short_pairs(bags.filter(F.col("length") <= longest), threshold, longest, top)
+    return short.unionByName(_long_pairs(bags, threshold, longest)).filter(F.col("similarity") >= threshold)
 
 
 def retrieve(
@@ -251,17 +313,18 @@ def retrieve(
 
     ``records`` has ``id, title``; ``catalog`` has ``key, url, title``. Ranked by similarity,
     then key, as if every record were scored against the whole catalog. Work is done once per
-    distinct bag of tokens, so repeated titles on either side add no pairs.
+    distinct bag of tokens, so repeated titles on either side add no pairs, and titles of one template
+    add a bounded number of pairs each (unless they repeat a token).
     """
     rec = records.select("id", title_bag("title").alias("bag")).filter("bag != ''")
     items = catalog.select("key", "url", "title", title_bag("title").alias("bag")).filter("bag != ''")
     sides = rec.select("bag", F.lit(True).alias("r"), F.lit(False).alias("i")).unionByName(
-        items.select("bag", F.lit(False).alias("r"), F.lit(True).alias("i"))
+        items.select("bag", "key", F.lit(False).alias("r"), F.lit(True).alias("i")), allowMissingColumns=True
     )
-    bags = _number_bags(
-        sides.groupBy("bag").agg(F.bool_or("r").alias("is_record"), F.bool_or("i").alias("is_item"))
-    )
-    pairs = similar_bags(bags, threshold, longest)
+    bags = _number_bags(sides.groupBy("bag").agg(
+        F.bool_or("r").alias("is_record"), F.bool_or("i").alias("is_item"), F.min("key").alias("item_key")
+    ))
+    pairs = similar_bags(bags, threshold, longest, top)
     # No record can use more than the first `top` items of one bag.
     firsts = first_per_key(items, ["bag"], ["key"], top)
     firsts = firsts.join(bags.filter("is_item").selectExpr("bag", "bag_id AS item_bag"), "bag").drop("bag")

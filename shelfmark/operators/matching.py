@@ -112,10 +112,10 @@ def scores_to_wide(scored: DataFrame, key: str = "id") -> DataFrame:
     return pivoted.select(key, *[F.col(str(r)).alias(f"url_{r}_similarity") for r in CANDIDATE_RANKS])
 
 
-def match_summary(records: DataFrame, best: DataFrame, key: str = "id", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per record, those without candidates included."""
+def match_summary(records: DataFrame, best: DataFrame, key: str = "id", threshold: float = THRESHOLD, on: str | None = None) -> DataFrame:
+    """One row per record, those without candidates included. ``best`` has one row per value of ``on`` (else ``key``)."""
     url, status = decide(F.col("best_similarity"), F.col("best_url"), threshold)
-    joined = records.join(best, key, "left")
+    joined = records.join(best, on or key, "left")
     return joined.withColumns({
         "input_title": strip(F.col("input_title")), "matched_url": url, "status": status
     }).select(key, *MATCH_COLUMNS[1:])

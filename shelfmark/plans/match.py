@@ -39,12 +39,14 @@ def match_from_results(records: DataFrame, result_pages: DataFrame, site: str =
 
 
 def match_from_catalog(records: DataFrame, catalog: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Match records ``id, serial_number, input_title`` against a catalog table ``key, url, title``."""
-    found = retrieve(records.select("id", F.col("input_title").alias("title")), catalog, threshold)
-    best = found.filter("rank = 1").select(
-        "id", F.col("url").alias("best_url"), F.col("similarity").alias("best_similarity")
+    """Match records ``id, serial_number, input_title`` against a catalog table ``key, url, title``.
+
+    One row per record, also where ids repeat: the search is made once per title."""
+    titles = records.select(F.col("input_title").alias("id"), F.col("input_title").alias("title")).distinct()
+    best = retrieve(titles, catalog, threshold, top=1).select(
+        F.col("id").alias("input_title"), F.col("url").alias("best_url"), F.col("similarity").alias("best_similarity")
     )
-    return match_summary(records, best, threshold=threshold)
+    return match_summary(records, best, threshold=threshold, on="input_title")
 
 
 def run_match(

@@ -6,6 +6,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from shelfmark.functions.similarity import score_long_pairs, tfidf_cosine, tokens
+from shelfmark.operators import candidates
 from shelfmark.operators.candidates import retrieve
 from shelfmark.operators.matching import augment, match_wide, similarity_table
 
@@ -93,6 +94,44 @@ def test_titles_that_differ_in_one_rare_token_do_not_all_meet(spark):
     assert got == {(i, i // 2) for i in range(0, 400, 2)} | {(400, k) for k in range(5)}
 
 
+def pairs_made(spark, monkeypatch, records, items, threshold=0.6, step="_top_pairs"):
+    """Number of pairs that a step of retrieval scores; the result must be right."""
+    made = []
+    whole = getattr(candidates, step)
+    monkeypatch.setattr(candidates, step, lambda *a, **k: made.append(whole(*a, **k)) or made[-1])
+    check_retrieval(spark, records, items, threshold)
+    return made[0].count()
+
+
+def test_titles_of_one_template_make_few_pairs(spark, monkeypatch):
+    """All pairs of titles score alike; the pairs made grow with the titles, not with their square."""
+    titles = lambda n, step: [(i, f"acme steel widget blue no{i * step}") for i in range(n)]
+    made = [pairs_made(spark, monkeypatch, titles(n, 1), titles(n, 3)) for n in (200, 400)]
+    assert made[1] < 2.5 * made[0] and made[1] < 400 * 12
+
+
+def test_templates_of_several_lengths_equal_brute_force(spark, monkeypatch):
+    """Crowded places within crowded places: common tokens, some shared by a part of the titles only."""
+    rng = random.Random(9)
+    words = "acme steel widget blue heavy duty outdoor".split()
+    title = lambda: " ".join([w for w in words if rng.random() < 0.85] + [f"no{rng.randrange(60)}"] * (rng.random() < 0.8))
+    records, items = ([(i, title()) for i in range(n)] for n in (250, 300))
+    monkeypatch.setattr(candidates, "_CROWDED", 2)
+    for threshold in (0.6, 0.35):
+        check_retrieval(spark, records, items, threshold)
+
+
+def test_long_texts_make_few_pairs(spark, monkeypatch):
+    """Where two long texts meet under a token, most pairs cannot reach the threshold any more."""
+    rng = random.Random(4)
+    common, rare = [f"c{i}" for i in range(60)], [f"r{i}" for i in range(4000)]
+    text = lambda n: rng.sample(common, 25) + rng.choices(rare, k=n)
+    texts = [text(rng.randint(20, 60)) for _ in range(80)]
+    near = [[w if rng.random() < 0.8 else rng.choice(rare) for w in t] for t in texts[:40]]
+    records, items = ([(i, " ".join(t)) for i, t in enumerate(ts)] for ts in (texts, near + [text(40) for _ in range(60)]))
+    assert pairs_made(spark, monkeypatch, records, items, step="_long_pairs") < 0.1 * 80 * 100
+
+
 WIDE = "id string, serial_number string, input_title string, " + ", ".join(
     f"url_{r} string, url_{r}_title string" for r in range(1, 6)
 ) + ", scraped_date string"
