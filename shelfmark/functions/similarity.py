@@ -58,6 +58,20 @@ def cosine_general(a: Sql, b: Sql) -> Sql:
     )
 
 
+def cosine_of_terms(a: Sql, b: Sql) -> Sql:
+    """Score of two texts given as structs of distinct ``tokens``, their counts ``tf`` and the sum of squared counts ``whole``.
+
+    Takes the shared tokens times both lengths; nothing leaves the row."""
+    count = lambda side, t: f"get({side}.tf, CAST(array_position({side}.tokens, {t}) AS INT) - 1)"
+    acc, p = var(), var()
+    counts = each("transform", f"array_intersect({a}.tokens, {b}.tokens)", lambda t: f"named_struct('x', {count(a, t)}, 'y', {count(b, t)})")
+    sums = (
+        f"aggregate({counts}, named_struct('dot', 0L, 'a', 0L, 'b', 0L), ({acc}, {p}) -> named_struct('dot', {acc}.dot + {p}.x * {p}.y,"
+        f" 'a', {acc}.a + {p}.x * {p}.x, 'b', {acc}.b + {p}.y * {p}.y))"
+    )
+    return let(sums, lambda s: _cosine_sql(f"{s}.dot", f"{a}.whole", f"{s}.a", f"{b}.whole", f"{s}.b"))
+
+
 def cosine_sql(a: Sql, b: Sql) -> Sql:
     """Score of two token arrays given as plain column or lambda variable names."""
     simple = let(

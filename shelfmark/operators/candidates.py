@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.similarity import LONE_WEIGHT, cosine_general, cosine_of_sizes, score_long_pairs, tokens_sql
+from shelfmark.functions.similarity import LONE_WEIGHT, cosine_general, cosine_of_sizes, cosine_of_terms, tokens_sql
 from shelfmark.functions.sqltext import Sql, each, let, var
 from shelfmark.functions.text import or_not_available
 from shelfmark.operators.consolidate import first_per_key, with_row_number
@@ -288,11 +288,13 @@ def _long_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
     bound = f"sqrt({_reach('record', 'item')} * {_reach('item', 'record')}) >= {threshold - 1e-9!r}D"
     met = side(keyed.filter("is_record"), "record").join(side(keyed.filter("is_item"), "item"), "key")
     met = met.filter("(record_is_long OR item_is_long)").filter(bound).select("record_bag", "item_bag").distinct()
-    texts = bags.selectExpr("bag_id", "flatten(transform(terms, x -> array_repeat(x.token, CAST(x.tf AS INT)))) AS words")
-    joined = met.join(texts.selectExpr("bag_id AS record_bag", "words AS a"), "record_bag").join(
-        texts.selectExpr("bag_id AS item_bag", "words AS b"), "item_bag"
+    text = (
+        "named_struct('tokens', transform(terms, x -> x.token), 'tf', transform(terms, x -> x.tf),"
+        " 'whole', aggregate(terms, 0L, (n, x) -> n + x.tf * x.tf))"
     )
-    return score_long_pairs(joined, ["record_bag", "item_bag"], "a", "b")
+    sides = [bags.filter(f"is_{name}").selectExpr(f"bag_id AS {name}_bag", f"{text} AS {name}") for name in ("record", "item")]
+    joined = met.join(sides[0], "record_bag").join(sides[1], "item_bag")
+    return joined.select("record_bag", "item_bag", F.expr(f"coalesce({cosine_of_terms('record', 'item')}, 0D)").alias("similarity"))
 
 
 def similar_bags(bags: DataFrame, threshold: float, longest: int = 32, top: int = 5) -> DataFrame:
