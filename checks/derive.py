@@ -130,15 +130,19 @@ def page_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, PAGE_MATCHES, "pages")
 
 
-def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored pages with results in two slots, and links like a result's that follow blocks and slots."""
+def result_pages(spark: SparkSession, sf_dir: str, nested: bool = False) -> DataFrame:
+    """The stored pages with results in two slots (``nested``: some in a slot inside the other), and links like a result's that follow blocks and slots."""
     block = BLOCK
     decoy = "'<div class=\"promo\"><a class=\"a-link-normal s-line-clamp-4 s-link-style a-text-normal\" href=\"/promo\"><h2 aria-label=\"p\"><span>Promo</span></h2></a></div>'"
-    slot = lambda low, high: (
-        f"""'<div class="s-main-slot s-search">' || array_join(transform(filter(array(1, 2, 3, 4, 5, 6, 7),
-        i -> i <= page_id % 8 AND i BETWEEN {low} AND {high}), i -> {block} || {decoy}), '') || '</div>' || {decoy}"""
+    blocks = lambda low, high: (
+        f"""array_join(transform(filter(array(1, 2, 3, 4, 5, 6, 7),
+        i -> i <= page_id % 8 AND i BETWEEN {low} AND {high}), i -> {block} || {decoy}), '')"""
     )
-    sql = f"SELECT CAST(page_id AS string) AS id, coalesce(html, '') || {slot(1, 3)} || {slot(4, 7)} AS html FROM pages"
+    slot = lambda inside: f"""'<div class="s-main-slot s-search">' || {inside} || '</div>'"""
+    both = f"{slot(blocks(1, 3))} || {decoy} || {slot(blocks(4, 7))} || {decoy}"
+    if nested:
+        both = slot(f"{blocks(1, 2)} || '<div><ul>' || {slot(blocks(3, 4))} || '</ul></div>' || {decoy} || {blocks(5, 7)}") + f" || {decoy}"
+    sql = f"SELECT CAST(page_id AS string) AS id, coalesce(html, '') || {both} AS html FROM pages"
     return run(spark, sf_dir, sql, "pages")
 
 

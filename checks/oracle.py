@@ -79,6 +79,12 @@ ORACLE["s02_null_tokens"] = "SELECT p_partkey, CASE p_partkey % 6 WHEN 4 THEN 'N
 ORACLE["s03_write_catalog"] = f"WITH {CATALOG} {CLEAN} FROM clean"
 ORACLE["s04_load_master"] = f"""WITH {CATALOG} {CLEAN}, "Supplier" AS "Source_File", '{D.AS_OF}' AS "Last_Updated" FROM clean"""
 ORACLE["s05_read_records"] = D.WIDE
+ORACLE["s05_list"] = D.WIDE
+ORACLE["s05_keyed"] = f"""SELECT serial_number AS id, serial_number, input_title, url_1, url_1_title, url_2, url_2_title, url_3, url_3_title,
+ url_4, url_4_title, url_5, url_5_title FROM ({D.WIDE})"""
+ORACLE["s05_quarantine"] = f"""SELECT CASE WHEN CAST(id AS INT) % 3 = 0 THEN 'set aside' ELSE 'record' END AS kind,
+ CASE CAST(id AS INT) % 9 WHEN 0 THEN '{{"id":{{"x":' || id || '}}}}' WHEN 3 THEN id WHEN 6 THEN '{{"id":"' || id || '","url_1":["' || url_1 || '"]}}'
+ ELSE id || '|' || input_title || '|' || url_1 END AS value FROM ({D.WIDE})"""
 
 # Projections, filters and predicates.
 ORACLE["p01_standardize_columns"] = f'WITH {CATALOG} SELECT "Supplier", "Serial_Number", "Product_Name" FROM catalog'
@@ -351,6 +357,7 @@ _BRAND = "CASE WHEN i % 2 = 1 THEN 'Brand' || i || ' ' ELSE '' END"
 _PRODUCT = "CASE WHEN i % 5 = 4 THEN 'Not Available' ELSE 'Product' || i || 'of ' || page_id END"
 ORACLE["h01_result_list"] = f"""SELECT id, CAST(i - 1 AS INTEGER) AS position, CASE WHEN i % 4 = 3 THEN 'Not Available'
   ELSE 'https://shop.example.com/dp/' || page_id || '/' || i || '?ref=' || i || '&x=1' END AS url, {_BRAND} || {_PRODUCT} AS title FROM ({_RESULTS})"""
+ORACLE["h01_nested_slots"] = ORACLE["h01_result_list"]
 ORACLE["h01_result_list_early"] = f"""SELECT id, CAST(i - 1 AS INTEGER) AS position, CASE WHEN i % 4 = 3 THEN 'Not Available'
   ELSE 'https://shop.example.com/dp/' || page_id || '/' || i END AS url, {_BRAND} || {_PRODUCT} AS title FROM ({_RESULTS})"""
 _E2_TITLE = "'Brand1 Product 1 of ' || CASE WHEN page_id % 3 = 0 THEN '' ELSE CAST(page_id AS VARCHAR) END"

@@ -97,6 +97,43 @@ def s05(spark, sf_dir):
     return good
 
 
+def json_files(spark, rows: DataFrame, entry: str, opening: str, closing: str) -> str:
+    """Files of one line each, that hold the entries of ``rows`` (id, ...) in a list or an object."""
+    path = f"{scratch(spark)}/json"
+    files = rows.selectExpr("CAST(id AS INT) % 8 AS file", "CAST(id AS INT) AS id", f"{entry} AS entry").groupBy("file").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", "entry"))), lambda x: x["entry"]), ", ").alias("entries")
+    )
+    files.select("file", F.concat(F.lit(opening), "entries", F.lit(closing)).alias("value")).write.partitionBy("file").text(path)
+    return f"{path}/*"
+
+
+@query("s05_list")
+def s05_list(spark, sf_dir):
+    wide = D.wide(spark, sf_dir)
+    path = json_files(spark, wide, f"to_json(struct({', '.join(wide.columns)}))", "[", "]")
+    return SR.read_records(spark, path)[0]
+
+
+@query("s05_keyed")
+def s05_keyed(spark, sf_dir):
+    names = {1: "1st", 2: "2nd", 3: "3rd", 4: "4th", 5: "5th"}
+    slots = ", ".join(f"url_{r} AS `{n}_url`, url_{r}_title AS `{n}_url_title`" for r, n in names.items())
+    wide = D.wide(spark, sf_dir)
+    entry = f"""concat('"', serial_number, '": ', to_json(struct(input_title, {slots})))"""
+    return SR.read_keyed_records(spark, json_files(spark, wide, entry, "{", "}"))[0]
+
+
+@query("s05_quarantine")
+def s05_quarantine(spark, sf_dir):
+    """Every third entry of a list is no record; its neighbours are kept."""
+    entry = """CASE CAST(id AS INT) % 9 WHEN 0 THEN concat('{"id":{"x":', id, '}}') WHEN 3 THEN id
+        WHEN 6 THEN concat('{"id":"', id, '","url_1":["', url_1, '"]}') ELSE to_json(struct(id, input_title, url_1)) END"""
+    good, bad = SR.read_records(spark, json_files(spark, D.wide(spark, sf_dir), entry, "[", "]"))
+    return good.select(F.lit("record").alias("kind"), F.concat_ws("|", "id", "input_title", "url_1").alias("value")).unionByName(
+        bad.select(F.lit("set aside").alias("kind"), F.col("raw").alias("value"))
+    )
+
+
 @query("s06_write_augmented")
 def s06(spark, sf_dir):
     path = f"{scratch(spark)}/augmented"
@@ -494,6 +531,11 @@ def h01(spark, sf_dir):
     return P.search_results(D.result_pages(spark, sf_dir), "id", D.SITE)
 
 
+@query("h01_nested_slots")
+def h01_nested(spark, sf_dir):
+    return P.search_results(D.result_pages(spark, sf_dir, nested=True), "id", D.SITE)
+
+
 @query("h01_result_list_early")
 def h01_early(spark, sf_dir):
     return P.search_results(D.result_pages(spark, sf_dir), "id", D.SITE, early=True)

@@ -163,6 +163,30 @@ def inner(markup: Sql, open_tag: str) -> Sql:
     return let(markup, find)
 
 
+def outermost(markup: Sql, open_tag: str) -> Sql:
+    """The elements whose open tag matches and that lie in no other such element, each whole up to its own end tag, one after the other.
+
+    One walk over the tags of that name; an element that is not closed goes on to the end."""
+    name = re.match(r"<\(\?i:(\w+)\)", open_tag)[1]
+
+    def find(pieces: Sql) -> Sql:
+        a, p, s = var(), var(), var()
+        starts = lambda tag: f"rlike({p}, {raw(rf'^(?i:{tag})[\s/>]')})"
+        step = f"CASE WHEN {starts('<' + name)} THEN 1 WHEN {starts('</' + name)} THEN -1 ELSE 0 END"
+        depth = f"CASE WHEN {a}.depth > 0 THEN {a}.depth + {step} WHEN rlike({p}, {raw(f'^{open_tag}')}) THEN 1 ELSE 0 END"
+        span = lambda end: f"concat({a}.spans, array(named_struct('begin', {a}.begin, 'end', {end})))"
+        walk = let(depth, lambda d: (
+            f"named_struct('i', {a}.i + 1, 'depth', {d}, 'begin', CASE WHEN {a}.depth = 0 THEN {a}.i ELSE {a}.begin END,"
+            f" 'spans', CASE WHEN {a}.depth > 0 AND {d} = 0 THEN {span(f'{a}.i')} ELSE {a}.spans END)"
+        ))
+        zero = "named_struct('i', 0, 'depth', 0, 'begin', 0, 'spans', CAST(array() AS ARRAY<STRUCT<begin: INT, end: INT>>))"
+        spans = f"aggregate({pieces}, {zero}, ({a}, {p}) -> {walk}, {a} -> CASE WHEN {a}.depth > 0 THEN {span(f'{a}.i')} ELSE {a}.spans END)"
+        text = f"array_join(slice({pieces}, {s}.begin + 1, {s}.end - {s}.begin), '')"
+        return f"array_join(transform({spans}, {s} -> {text}), {_MARK})"
+
+    return let(f"split(concat({_MARK}, {markup}), {raw(rf'(?i)(?=</?{name}[\s/>])')})", find)
+
+
 def first_below_markup(markup: Sql, outer: str, wanted: str) -> Sql:
     """Content of the first ``wanted`` element that lies inside an ``outer`` one, whatever is nested; null if none does."""
     outer_name, wanted_name = (re.match(r"<\(\?i:(\w+)\)", tag)[1] for tag in (outer, wanted))
@@ -403,6 +427,5 @@ def result_blocks(markup: Sql) -> Sql:
         starts = f"split(concat({_MARK}, {markup}), {raw(f'(?={tag})')})"
         return let(starts, lambda ps: each("transform", f"slice({ps}, 2, size({ps}))", lambda p: let(inner(p, tag), body)))
 
-    slots = f"array_join({inside(markup, by_classes('div', ['s-main-slot']), lambda slot: slot)}, {_MARK})"
-    found = inside(slots, block, fields)
+    found = inside(outermost(markup, by_classes("div", ["s-main-slot"])), block, fields)
     return f"CASE WHEN contains({markup}, 's-search-result') THEN {found} END"

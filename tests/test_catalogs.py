@@ -1,3 +1,4 @@
+import json
 import logging
 
 import pytest
@@ -165,5 +166,43 @@ def test_keyed_records_json(spark, tmp_path):
     assert [r.raw for r in bad.collect()] == ["{oops"]
 
 
+def test_bad_entries_cost_themselves_alone(spark, tmp_path):
+    entries = ['{"id": "1", "input_title": "a } b { \\" ] [ , x"}', '{"id":{"x":1}}', "7", '"}"', '{"id": "2", "url_1": ["u"]}', "null", '{"id": 3, "other": {"deep": [1]}}', "[1, {}]", "{}"]
+    (tmp_path / "mixed.json").write_text(" [" + " ,\n".join(entries) + "]\n")
+    (tmp_path / "object.json").write_text('{"id": "9"}')
+    (tmp_path / "cut.json").write_text('[{"id": "4"}, {"id": "5"}, {"id": "6", "input_ti')
+    (tmp_path / "comma.json").write_text('[{"id": "10"} {"id": "11"}, {"id": "12", "id": }, {"id": "13"}]')
+    good, bad = read_records(spark, str(tmp_path / "*.json"))
+    assert sorted((r.id, r.input_title) for r in good.filter("id IS NOT NULL").collect()) == sorted([("1", 'a } b { " ] [ , x'), ("3", None), ("4", None), ("5", None), ("10", None), ("11", None), ("13", None)])  # a missing comma costs nothing
+    assert good.filter("id IS NULL").count() == 1  # the empty object
+    got = [(r.file_name.rsplit("/", 1)[1], r.raw.strip()) for r in bad.collect()]
+    assert sorted(g for g in got if g[0] == "mixed.json") == sorted(("mixed.json", x) for x in ('{"id":{"x":1}}', "7", '"}"', '{"id":"2","url_1":["u"]}', "null", "[1,{}]"))
+    assert ("object.json", '{"id": "9"}') in got and ("cut.json", ', {"id": "6", "input_ti') in got
+    assert [g[1] for g in got if g[0] == "comma.json"] == [', {"id": "12", "id": }']
+
+
+def test_bad_keyed_entries(spark, tmp_path):
+    (tmp_path / "k.json").write_text('{"a": {"input_title": "t"}, "b": 7, "c": {"1st_url": {"x": 1}}, "d": {"Serial_Number": 12}}')
+    good, bad = read_keyed_records(spark, str(tmp_path / "k.json"))
+    assert sorted((r.id, r.serial_number, r.input_title) for r in good.collect()) == [("a", "a", "t"), ("d", "12", None)]
+    assert sorted(r.raw for r in bad.collect()) == ['{"b":7}', '{"c":{"1st_url":{"x":1}}}']
+
+
+def test_one_long_line_is_read_in_many_tasks(spark, tmp_path):
+    """A list of one line, cut anywhere: in strings that hold braces, quotes and backslashes too."""
+    title = lambda i: '"quoted" } { \\\\ [%d], é' % i if i % 3 else f"plain {i}"
+    rows = [{"id": str(i), "input_title": title(i), "url_1": "u" * (i % 90)} for i in range(4000)]
+    (tmp_path / "list.json").write_text(json.dumps(rows, ensure_ascii=False))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        good, bad = read_records(spark, str(tmp_path / "list.json"))
+        got = {(r.id, r.input_title, r.url_1) for r in good.collect()}
+        scan = spark.read.option("lineSep", "}").text(str(tmp_path / "list.json"))
+        assert scan.rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {(r["id"], r["input_title"], r["url_1"]) for r in rows} and bad.count() == 0
+
+
 def test_path_exists(spark, tmp_path):
     assert path_exists(spark, str(tmp_path)) and not path_exists(spark, str(tmp_path / "no*"))

@@ -120,6 +120,26 @@ def test_results_end_with_their_block(spark):
     assert got == [(0, "Not Available", "Not Available"), (1, "https://s/1", "One"), (2, "https://s/2", "Two")]
 
 
+def test_slots_in_slots_keep_every_result(spark):
+    """The results before, inside and after a nested slot, of unclosed slots and of slots one after the other."""
+    result = lambda n: (
+        '<div data-component-type="s-search-result"><div><a class="a-link-normal s-line-clamp-4 s-link-style a-text-normal"'
+        f' href="/{n}"><h2 aria-label="x"><span>T{n}</span></h2></a></div></div>'
+    )
+    slot = lambda *inside: f'<div class="s-main-slot">{"".join(inside)}</div>'
+    pages = {
+        "nested": result(0) + slot(result(1), "<div>", slot(result(2), slot(result(3))), "</div>", result(4)) + result(5) + slot(result(6)),
+        "open": slot(result(1)) + result(2) + '<DIV class="s-main-slot">' + result(3) + "<div>" + result(4),
+        "none": "<div>" + result(1),
+    }
+    df = spark.createDataFrame(list(pages.items()), "id string, html string")
+    got = {}
+    for r in search_results(df, "id", "https://s/").orderBy("position").collect():
+        got.setdefault(r.id, []).append((r.position, r.title))
+    numbered = lambda *titles: list(enumerate(f"T{n}" for n in titles))
+    assert got == {"nested": numbered(1, 2, 3, 4, 6), "open": numbered(1, 3, 4)}
+
+
 def nested_items(html):
     """Item texts by a plain walk over tags, with explicit stacks."""
     import re
