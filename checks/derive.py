@@ -63,6 +63,10 @@ LONG_ITEMS = "SELECT doc_id AS key, source AS url, text AS title FROM documents"
 REPEATED_RECORDS = """SELECT CAST(p_partkey % 50 AS varchar(20)) AS id, 'S' || p_partkey AS serial_number,
  p_brand || ' ' || p_type || ' ' || p_name AS input_title FROM part"""
 
+# A name with a line break, a comma and quotes; one with an inch mark; one that is plain. And how a CSV file holds each.
+BROKEN_NAME = """CASE p_partkey % 3 WHEN 0 THEN p_name || chr(10) || 'line, "two"' || chr(10) || chr(10) || p_size WHEN 1 THEN p_size || '" PIPE ' || p_name ELSE p_name END"""
+BROKEN_CSV = """CASE p_partkey % 3 WHEN 0 THEN '"' || p_name || chr(10) || 'line, ""two""' || chr(10) || chr(10) || p_size || '"' WHEN 1 THEN p_size || '" PIPE ' || p_name ELSE p_name END"""
+
 FRAGMENT = """CASE WHEN page_id % 3 = 0 THEN '<div id="titleSection"><h1 id="title"><span id="productTitle" class="a-size-large">  Item <b>' || page_id || '</b> &amp; Co  pack </span></h1></div>' ELSE '' END
 || CASE page_id % 5
  WHEN 0 THEN '<span id="priceblock_ourprice"> </span><span class="a-price b"><span class="a-offscreen">AED&nbsp;' || page_id || '.50</span><span aria-hidden="true">x</span></span>'

@@ -78,6 +78,11 @@ ORACLE["s01_read_catalogs"] = f'WITH {CATALOG} SELECT "Supplier", "Serial_Number
 ORACLE["s02_null_tokens"] = "SELECT p_partkey, CASE p_partkey % 6 WHEN 4 THEN 'Nan' WHEN 5 THEN p_name END AS value FROM part"
 ORACLE["s03_write_catalog"] = f"WITH {CATALOG} {CLEAN} FROM clean"
 ORACLE["s04_load_master"] = f"""WITH {CATALOG} {CLEAN}, "Supplier" AS "Source_File", '{D.AS_OF}' AS "Last_Updated" FROM clean"""
+ORACLE["s01_quoted_breaks"] = f"SELECT CAST(p_partkey AS VARCHAR) AS serial, {D.BROKEN_NAME} AS name, p_brand AS brand FROM part"
+_MISSING = "'product name column missing in the catalog of S' || n"
+ORACLE["p02_required_column"] = f"""SELECT 'S' || n AS "Supplier", p_partkey AS "Serial_Number", CASE n WHEN 1 THEN p_name WHEN 2 THEN p_type END AS "Product_Name",
+ CASE WHEN n IN (0, 3) THEN {_MISSING} END AS error FROM part, (SELECT unnest([0, 1, 2, 3]) AS n)"""
+ORACLE["p03_missing_serial"] = """SELECT 'East' AS "Supplier", CAST(NULL AS VARCHAR) AS "Serial_Number", p_name AS "Product_Name", p_brand AS "Brand" FROM part"""
 ORACLE["s05_read_records"] = D.WIDE
 ORACLE["s05_list"] = D.WIDE
 ORACLE["s05_keyed"] = f"""SELECT serial_number AS id, serial_number, input_title, url_1, url_1_title, url_2, url_2_title, url_3, url_3_title,

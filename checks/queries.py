@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -67,6 +68,18 @@ def s01(spark, sf_dir):
     return rows.select("Supplier", "Serial_Number", "Product_Name", "Packaging_Type")
 
 
+@query("s01_quoted_breaks")
+def s01_breaks(spark, sf_dir):
+    """Line breaks, commas and quotes inside quoted names beside names with an inch mark."""
+    path = f"{scratch(spark)}/breaks"
+    lines = D.run(spark, sf_dir, f"SELECT p_partkey % 8 AS file, p_partkey, p_partkey || ',' || {D.BROKEN_CSV} || ',' || p_brand AS line FROM part", "part")
+    files = lines.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("p_partkey", "line"))).alias("lines"))
+    text = F.concat(F.lit("SL NO,Item Name,Brand\n"), F.array_join(F.transform("lines", lambda x: x["line"]), "\n"))
+    files.select("file", text.alias("value")).write.partitionBy("file").text(path)
+    found = SC.read_catalogs(spark, {"Breaks": f"{path}/*"})["Breaks"]
+    return found.select(F.col("`SL NO`").alias("serial"), F.col("`Item Name`").alias("name"), F.col("Brand").alias("brand"))
+
+
 @query("s02_null_tokens")
 def s02(spark, sf_dir):
     df = D.run(spark, sf_dir, """SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN '#N/A'
@@ -181,6 +194,25 @@ def p01(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+@query("p02_required_column")
+def p02(spark, sf_dir):
+    """The catalogs that have no product name under any known header."""
+    found = []
+    for n, name in enumerate(["p_name AS Title", "p_name AS Name", "p_type AS `Item Name`", "p_brand AS Brand"]):
+        df = D.run(spark, sf_dir, f"SELECT p_partkey AS `SL NO`, {name} FROM part", "part")
+        try:
+            found.append(SC.standardize_columns(df, f"S{n}").select("Supplier", "Serial_Number", "Product_Name", F.lit(None).cast("string").alias("error")))
+        except ValueError as error:
+            found.append(df.select(F.lit(f"S{n}").alias("Supplier"), F.col("`SL NO`").alias("Serial_Number"), F.lit(None).cast("string").alias("Product_Name"), F.lit(str(error)).alias("error")))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query("p03_missing_serial")
+def p03(spark, sf_dir):
+    df = D.run(spark, sf_dir, "SELECT p_name AS Name, p_brand AS Brand FROM part", "part")
+    return SC.standardize_columns(df, "East").select("Supplier", "Serial_Number", "Product_Name", "Brand")
+
+
 @query("p05_extracted_columns_replaced")
 def p05(spark, sf_dir):
     filled = D.run(

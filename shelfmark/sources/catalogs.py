@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import null_token_to_null
+from shelfmark.functions.text import null_token_to_null, strip
+from shelfmark.sources.splits import before, gather, last_before, pieces
 
 log = logging.getLogger(__name__)
 
@@ -31,29 +32,68 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return matches is not None and len(matches) > 0
 
 
+# One value, from a line's start or a comma on: quoted up to a quote before a comma or the line's end, or unquoted.
+_QUOTED = r'(?:[^"]++|""|"(?!,|\z))*+"(?=,|\z)'
+_VALUE = rf'(?:"{_QUOTED}|[^",][^,]*+|)'
+_REST = rf"(?:,{_VALUE})*+\z"
+
+
+def _ends_outside(line: Column) -> Column:
+    """Does a line that starts outside of quotes end outside? An inch mark inside an unquoted value opens nothing."""
+    return ~F.contains(line, F.lit('"')) | line.rlike(rf"(?s)^{_VALUE}{_REST}")
+
+
+def _closes(line: Column) -> Column:
+    """Does a line that starts inside quotes end outside?"""
+    return F.contains(line, F.lit('"')) & line.rlike(rf"(?s)^{_QUOTED}{_REST}")
+
+
 def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted value may go over a line's end: the line where it starts holds an odd number of quotes."""
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    """Whether a quoted value may go over a line's end: a line leaves one open."""
+    return not spark.read.text(path).filter(~_ends_outside(F.col("value"))).isEmpty()
+
+
+def _whole_records(spark: SparkSession, path: str) -> DataFrame:
+    """Records of CSV text that may hold line breaks inside quotes, as ``gather`` gives them; splits are read in parallel.
+
+    A line turns the state at its start (inside quotes or not) into the state at its end: it keeps it, turns it, or ends in one
+    state whatever it was. So the state is that of the last line of the third kind before, turned by the turning lines since."""
+    lines = pieces(spark, path)
+    outside, inside = ~_ends_outside(F.col("raw")), ~_closes(F.col("raw"))  # is it inside quotes at the end, by how it began?
+    lines = lines.withColumn("__from_outside", outside.cast("int")).withColumn("__from_inside", inside.cast("int"))
+    fixed = F.col("__from_outside") == F.col("__from_inside")
+    turns = (F.col("__from_outside") > F.col("__from_inside")).cast("long")
+    lines = before(lines, turns, "__turned")
+    # the last fixing line, and the turns before it
+    order = [F.col("block_start"), F.col("row_seq")]
+    mark = F.when(fixed, F.struct(*order, F.col("__from_outside").alias("state"), F.col("__turned").alias("turned")))
+    lines = last_before(lines, mark, "__fix")
+    state = F.coalesce(F.col("__fix.state"), F.lit(0)) + F.col("__turned") - F.coalesce(F.col("__fix.turned"), F.lit(0))
+    ends_inside = F.when(state % 2 == 1, F.col("__from_inside")).otherwise(F.col("__from_outside"))
+    return gather(lines.select("file_name", "block_start", "row_seq", "raw", (ends_inside == 0).alias("__ends")), F.col("__ends"), "\n")
 
 
 def read_catalog(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """All columns as strings, null tokens as nulls, plus the row's place in the input.
 
-    Files without a line break inside quotes are read in splits, others whole, one task per file. Which
-    they are is looked up in one distributed scan unless ``multi_line`` states it.
+    Files are read in splits. Where a value holds a line break inside quotes, the lines of each record are put together first;
+    whether there are such is looked up in one distributed scan unless ``multi_line`` states it.
     """
     if multi_line is None:
         multi_line = has_quoted_breaks(spark, path)
-    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"', multiLine=multi_line)
-    values = [null_token_to_null(F.col(f"`{name}`")).alias(name) for name in raw.columns]
-    return raw.select(
-        *values,
-        F.col("_metadata.file_path").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_seq"),
-    )
+    options = {"header": True, "inferSchema": False, "escape": '"'}
+    raw = spark.read.csv(path, **options)
+    places = [F.col("_metadata.file_path").alias("file_name"), F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("row_seq")]
+    names = raw.columns
+    if multi_line:
+        # each file's first record is its header
+        records = _whole_records(spark, path).filter("record > 0").filter(strip(F.col("text")) != "")
+        schema = ", ".join(f"`_{i}` string" for i in range(len(names)))
+        raw = records.withColumn("__r", F.from_csv("text", schema, {"escape": '"'}))
+        raw = raw.select(*[F.col(f"__r._{i}").alias(name) for i, name in enumerate(names)], *ORDER_COLUMNS[1:])
+        places = ORDER_COLUMNS[1:]
+    values = [null_token_to_null(F.col(f"`{name}`")).alias(name) for name in names]
+    return raw.select(*values, *places)
 
 
 def normalize_null_tokens(df: DataFrame) -> DataFrame:

@@ -35,6 +35,16 @@ def before(rows: DataFrame, value: Column, name: str) -> DataFrame:
     return own.join(totals, _SPLIT).withColumn(name, F.col("__own") + F.col("__earlier")).drop("__own", "__earlier")
 
 
+def last_before(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """``rows`` with the last ``value`` that is not null among the pieces before, in the same file. ``value`` begins with its place."""
+    totals = rows.groupBy(*_SPLIT).agg(F.max(value).alias("__last"))
+    earlier = Window.partitionBy("file_name").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*_SPLIT, F.max("__last").over(earlier).alias("__earlier"))
+    inside = Window.partitionBy(*_SPLIT).orderBy("row_seq").rowsBetween(Window.unboundedPreceding, -1)
+    own = rows.withColumn("__own", F.max(value).over(inside))
+    return own.join(totals, _SPLIT).withColumn(name, F.coalesce("__own", "__earlier")).drop("__own", "__earlier")
+
+
 def gather(rows: DataFrame, is_last: Column, separator: str) -> DataFrame:
     """One row per record: its number in the file, its first piece's place and its text. ``is_last`` tells a record's last piece.
 

@@ -1,5 +1,8 @@
+import csv
+import io
 import json
 import logging
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import consolidate as K
 from shelfmark.plans.catalog import build_master
 from shelfmark.schema import CLEAN_COLUMNS, MASTER_COLUMNS
-from shelfmark.sources.catalogs import path_exists, read_catalogs, standardize_columns
+from shelfmark.sources.catalogs import has_quoted_breaks, path_exists, read_catalogs, standardize_columns
 from shelfmark.sources.records import read_keyed_records, read_records
 from shelfmark.sources.tables import load_master, write_catalog
 
@@ -166,6 +169,36 @@ def test_keyed_records_json(spark, tmp_path):
     assert [r.raw for r in bad.collect()] == ["{oops"]
 
 
+def plain_csv(text):
+    return [r for r in csv.reader(io.StringIO(text)) if r]
+
+
+@pytest.mark.parametrize("multi_line", [None, True])
+def test_odd_quotes_and_breaks_in_many_splits(spark, tmp_path, multi_line):
+    """Inch marks, doubled quotes, commas and breaks inside quotes, read in small splits."""
+    rng = random.Random(3)
+    pieces = ['5" PIPE', "plain", "", 'x""y', 'a "b" c', "é"]
+    quoted = ['"two\nlines"', '"a, b"', '"say ""hi"", then\n\nstop"', '"5"" PIPE"', '"\n"', '",\n,"', '"""\n"""']
+    rows = [f"{i},{rng.choice(pieces + quoted)},{rng.choice(pieces + quoted)}" for i in range(3000)]
+    text = "SL NO,Item Name,Note\n" + "\n".join(rows) + "\n"
+    (tmp_path / "w.csv").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "6000")
+    try:
+        assert spark.read.text(str(tmp_path / "w.csv")).rdd.getNumPartitions() > 8
+        got = read_catalogs(spark, {"W": str(tmp_path / "w.csv")}, multi_line)["W"]
+        rows = [tuple(r) for r in got.orderBy("block_start", "row_seq").select(*got.columns[:3]).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows == [tuple(x or None for x in r) for r in plain_csv(text)[1:]]
+
+
+def test_inch_marks_alone_do_not_put_lines_together(spark, tmp_path):
+    (tmp_path / "w.csv").write_text('SL NO,Item Name\n1,5" PIPE\n2,6" PIPE "x\n')
+    assert not has_quoted_breaks(spark, str(tmp_path / "w.csv"))
+    got = read_catalogs(spark, {"W": str(tmp_path / "w.csv")})["W"]
+    assert [(r["SL NO"], r["Item Name"]) for r in got.collect()] == [("1", '5" PIPE'), ("2", '6" PIPE "x')]
+
+
 def test_bad_entries_cost_themselves_alone(spark, tmp_path):
     entries = ['{"id": "1", "input_title": "a } b { \\" ] [ , x"}', '{"id":{"x":1}}', "7", '"}"', '{"id": "2", "url_1": ["u"]}', "null", '{"id": 3, "other": {"deep": [1]}}', "[1, {}]", "{}"]
     (tmp_path / "mixed.json").write_text(" [" + " ,\n".join(entries) + "]\n")
