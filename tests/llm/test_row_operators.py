@@ -65,6 +65,60 @@ def test_terms_that_disclose_an_entity(documents):
     assert "[email]" in clean[0] and "kestrel" not in clean[0] and clean[9] == texts[9]
 
 
+def plain_terms(texts, threshold):
+    """Every term against every entity of its document: the spans of kind term, document by document."""
+    mask = lambda t: re.sub(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: " " * len(m.group()), t)
+    terms = [[(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_][^\W_]+", mask(t))] for t in texts]
+    held = [collections.defaultdict(set) for _ in texts]
+    for i, t in enumerate(texts):
+        mails = [(s, e) for k, s, e in plain_personal(t) if k == "email"]
+        for (s, e), before, after in zip(mails, [(0, 0), *mails], [*mails[1:], (len(t), 0)], strict=False):
+            held[i][t[s:e].lower()].add((t[before[1] : s][-120:], t[e : after[0]][:120]))
+    n, n_term, n_entity, both, contexts = len(texts), collections.Counter(), collections.Counter(), collections.Counter(), collections.defaultdict(set)
+    for own, entities in zip(terms, held, strict=True):
+        distinct = {w for w, _, _ in own}
+        n_term.update(distinct)
+        n_entity.update(entities.keys())
+        for e, seen in entities.items():
+            for w in distinct:
+                both[w, e] += 1
+                contexts[w, e] |= seen
+    told = set()
+    for (w, e), k in both.items():
+        bits = np.log2(n * k / (n_term[w] * n_entity[e]))
+        if k > 1 and len(contexts[w, e]) > 1 and bits >= threshold * np.log2(n / n_entity[e]) and k * bits > np.log2(n):
+            told.add((w, e))
+    return [[("term", s, x) for w, s, x in own if any((w, e) in told for e in entities)] for own, entities in zip(terms, held, strict=True)]
+
+
+def test_terms_far_from_their_entity(documents):
+    texts = [f"kestrel {i} " + "plain filler words " * 40 + f"mira@zoo.org said {i} and kestrel again" for i in range(5)] + ["plain filler words said and again"] * 60
+    got = spans(sanitise.find(documents(texts)), None)
+    marked = [{texts[i][s:e] for k, s, e in got[i] if k == "term"} for i in range(65)]
+    assert all(m == {"kestrel"} for m in marked[:5]) and not any(marked[5:])
+    assert all(sum(k == "term" for k, _, _ in got[i]) == 2 for i in range(5))
+
+
+@pytest.mark.parametrize("common", [1000, 6])
+def test_terms_against_every_pair(documents, monkeypatch, common):
+    monkeypatch.setattr(sanitise, "_COMMON", common)
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(300)}" for _ in range(40)] + [f"Zé{i}" for i in range(40)]
+    texts = []
+    for i in range(240):
+        who = rng.randrange(12)
+        own = [rng.choice(words) for _ in range(rng.randrange(5, 60))]
+        if i % 3:
+            own += [f"u{who}@mail.example"] * rng.choice([1, 1, 2]) + [f"Nick{who}"] * (rng.random() < 0.8) + ["all@hot.example", "hotword"] * (i % 2)
+        rng.shuffle(own)
+        texts.append(" ".join(own))
+    texts += [texts[1]] * 7 + ["", "solo@one.example unique unique solo@one.example", "a@b.cc,x4111111111111111 a@b.cc"]
+    got = spans(sanitise.find(documents(texts)), None)
+    want = plain_terms(texts, 0.9)
+    assert {i: [x for x in got[i] if x[0] == "term"] for i in got} == dict(enumerate(want))
+    assert sum(map(len, want)) > 100
+
+
 def plain_secrets(text):
     rules = [
         ("assign", re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A), lambda m: len(m[2]) >= 6),
