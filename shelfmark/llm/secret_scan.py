@@ -1,11 +1,16 @@
 """Secret scans: fixed patterns, and a guess-cost dynamic program over values in a credential context.
 
-The cost of a value is the least sum of log10 guesses over its segmentations into dictionary words (with capitals and
-look-alike digits), dates, repeats, keyboard walks, number or letter sequences and brute-force spans. A value that stays
-expensive under every segmentation is a real secret, and its span is added as kind ``guess``; a cheap one ("password: please",
+The cost of a value is the least sum of log10 guesses over its segmentations into words (with capitals and look-alike digits),
+dates, repeats, keyboard walks, number or letter sequences and brute-force spans. A value that stays expensive under every
+segmentation is a real secret, and its span is added as kind ``guess``; a cheap one ("password: please", "login: successful",
 "token = 12345678") adds nothing. Spans of the fixed patterns are never taken away.
 
-Null text is empty and has no spans. Repeated rows are scanned each; an empty table gives an empty result.
+Words are those that people choose for passwords, by rank, and those of the corpus: a word of 3 to ``longest`` letters that N/n of
+all N documents hold takes as many guesses as the inverse of that share. Only what stands outside credential contexts counts, in
+two documents at least, so a secret does not become a word by being copied. Counts cover all documents; a filter of fixed size
+drops words that no value holds before they are shuffled, and each distinct value is costed once.
+
+Null text is empty and has no spans. Repeated rows are scanned each, also rows with a null key; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.bitmap import likely_in
+from shelfmark.llm.scratch import stage
 from shelfmark.llm.words import in_chunks
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -47,6 +54,8 @@ KEY_ROWS = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 _LOOKALIKE = str.maketrans("013457@$!", "oieastasi")
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)\d\d")
 _SEGMENT = math.log10(2)  # what trying one more segment costs
+_LETTERS = re.compile(r"[^\W\d_]+")
+_SALTS = 16  # parts of a value that many documents hold
 
 
 def _neighbours() -> dict[str, set[str]]:
@@ -108,38 +117,99 @@ def guess_cost(value: str, ranks: dict[str, int], longest: int) -> float:
     return min(done[n], brute[n])
 
 
-def spans_of(text: str, low: bytes, ranks: dict[str, int], longest: int, least_cost: float) -> list[tuple[int, int, int, float]]:
-    """(start, kind number, end, cost) of a text; the cost is zero for fixed patterns."""
+def contexts(text: str, low: bytes) -> list[tuple[int, int]]:
+    """Places of the values in credential contexts."""
+    if not any(name in low for name in _NAMES):
+        return []
+    found = []
+    for m in CONTEXT.finditer(text):
+        start, value = m.start(m.lastindex), m[m.lastindex] if m.lastindex < 3 else m[3].rstrip(".,;:!?)]}")
+        if value:
+            found.append((start, start + len(value)))
+    return found
+
+
+def fixed_spans(text: str, low: bytes) -> list[tuple[int, int, int]]:
+    """(start, kind number, end) of the fixed patterns."""
     found = []
     if any(name in low for name in _NAMES):
-        found += [(m.start(), 0, m.end(), 0.0) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
-        for m in CONTEXT.finditer(text):
-            at = m.span(m.lastindex)
-            value = m[m.lastindex] if m.lastindex < 3 else m[3].rstrip(".,;:!?)]}")
-            if value and (cost := guess_cost(value, ranks, longest)) >= least_cost:
-                found.append((at[0], 3, at[0] + len(value), cost))
+        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     if "AKIA" in text:
-        found += [(m.start(), 1, m.end(), 0.0) for m in ACCESS.finditer(text)]
-    found += [(m.start(), 2, m.end(), 0.0) for m in HEX.finditer(text)]
-    return sorted(found)
+        found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
+    return found + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+
 
+def words_outside(text: str, low: bytes, longest: int) -> set[str]:
+    """Distinct lower-case words of the text without the values in credential contexts."""
+    for start, end in reversed(contexts(text, low)):
+        text = f"{text[:start]} {text[end:]}" if end - start < len(text) else ""
+    return {w for w in _LETTERS.findall(text.lower()) if 3 <= len(w) <= longest}
 
-def scan(docs: DataFrame, least_cost: float = 8.0, words: tuple[str, ...] = COMMON_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+
+def words_inside(value: str, longest: int) -> set[str]:
+    """Every lower-case piece of a value that may be a word, also with look-alike digits read as letters."""
+    low = value.lower()
+    runs = {m.group() for form in (low, low.translate(_LOOKALIKE)) for m in _LETTERS.finditer(form)}
+    return {r[i:j] for r in runs for i in range(len(r) - 2) for j in range(i + 3, min(len(r), i + longest) + 1)}
+
+
+def scan(docs: DataFrame, least_cost: float = 8.0, words: tuple[str, ...] = COMMON_WORDS, longest: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key and ``spans`` (kind, start, end in code points, end exclusive, cost), by start, then kind."""
     ranks = {w: i + 1 for i, w in reversed(list(enumerate(words)))}
-    longest = max(map(len, words), default=0)
-    kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("cost", pa.float64())])
+    longest = max([longest, *map(len, words)])
+    place = pa.struct([("number", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
+    value_type = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
 
-    def run(batches):
+    def search(batches):
         for part, texts in in_chunks(batches):
-            rows = []
+            fixed, values = [], []
             for x in texts:
-                found = spans_of(x.decode("utf-8", "replace"), x.lower(), ranks, longest, least_cost)
-                rows.append([{"kind": KINDS[k], "start": s, "end": e, "cost": c} for s, k, e, c in found])
-            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(rows, pa.list_(kind))], ["key", "spans"])
+                decoded, low = x.decode("utf-8", "replace"), x.lower()
+                fixed.append([{"number": k, "start": s, "end": e} for s, k, e in fixed_spans(decoded, low)])
+                values.append([{"start": s, "end": e, "value": decoded[s:e]} for s, e in contexts(decoded, low)])
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("row"), pa.array(fixed, pa.list_(place)), pa.array(values, pa.list_(value_type))], ["key", "row", "fixed", "values"])
 
-    narrow = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(run, "key long, spans array<struct<kind:string,start:long,end:long,cost:double>>")
+    def corpus_words(batches):
+        for part, texts in in_chunks(batches):
+            found = [w for x in texts for w in words_outside(x.decode("utf-8", "replace"), x.lower(), longest)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["word"])
+
+    def pieces(batches):
+        for part, texts in in_chunks(batches, 1 << 16, "value"):
+            for name, x in zip(part.column("name").to_pylist(), texts, strict=True):
+                found = list(words_inside(x.decode(), longest))
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(found, pa.string())], ["name", "word"])
+
+    def costs(batches):
+        for part, texts in in_chunks(batches, 1 << 16, "value"):
+            known = part.column("known").to_pylist()
+            found = []
+            for x, own in zip(texts, known, strict=True):
+                seen = {k["word"]: min(k["guesses"], ranks.get(k["word"], math.inf)) for k in own or []}
+                found.append(guess_cost(x.decode(), {**ranks, **seen}, longest))
+            yield pa.RecordBatch.from_arrays([part.column("name"), pa.array(found, pa.float64())], ["name", "cost"])
+
+    narrow = docs.select(F.col(key).cast("long").alias("key"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").alias("text"))
+    schema = "key long, row long, fixed array<struct<number:int,start:long,end:long>>, values array<struct<start:long,end:long,value:string>>"
+    found = stage(narrow.mapInArrow(search, schema), "secrets")
+    each = found.select("row", F.inline("values")).withColumn("name", F.md5("value"))
+    values = stage(each.groupBy("name").agg(F.min("value").alias("value")), "values")
+    parts = stage(values.mapInArrow(pieces, "name string, word string"), "value-words")
+    met = likely_in(narrow.select("text").mapInArrow(corpus_words, "word string"), F.xxhash64("word"), parts, F.xxhash64("word"))
+    counts = met.groupBy("word").agg(F.count("*").alias("n")).filter("n > 1")
+    guesses = counts.select("word", (F.lit(float(found.count())) / F.col("n")).alias("guesses"))
+    known = parts.join(guesses, "word").groupBy("name").agg(F.collect_list(F.struct("word", "guesses")).alias("known"))
+    costly = stage(values.join(known, "name", "left").mapInArrow(costs, "name string, cost double").filter(F.col("cost") >= least_cost), "costs")
+    # a value may stand in a third of all documents: its rows are dealt to some tasks, its cost is in each
+    salt = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    real = each.drop("value").withColumn("salt", F.pmod("row", F.lit(_SALTS)).cast("int")).join(costly.select("*", salt), ["name", "salt"])
+    real = real.groupBy("row").agg(F.collect_list(F.struct("start", F.lit(KINDS.index("guess")).alias("number"), "end", "cost")).alias("guessed"))
+    fixed = F.transform("fixed", lambda s: F.struct(s["start"].alias("start"), s["number"].alias("number"), s["end"].alias("end"), F.lit(0.0).alias("cost")))
+    both = found.select("key", "row", fixed.alias("fixed")).join(real, "row", "left")
+    ordered = F.array_sort(F.concat("fixed", F.coalesce("guessed", F.array().cast("array<struct<start:bigint,number:int,end:bigint,cost:double>>"))))
+    names = F.array(*map(F.lit, KINDS))
+    span = lambda s: F.struct(F.get(names, s["number"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["cost"].alias("cost"))
+    return both.select("key", F.transform(ordered, span).alias("spans"))
 
 
 def digest(spans: list[tuple[str, int, int]]) -> str:

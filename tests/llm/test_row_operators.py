@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -150,6 +151,46 @@ def test_guess_values_are_whole(documents):
     assert got == {i: [v] if v else [] for i, (_, v) in enumerate(cases)}
 
 
+WORDS_IN_USE = ["successful", "authentication", "administrator", "contrase\u00f1a", "erforderlich", "n\u00e9cessaire"]
+
+
+def test_words_of_the_corpus_are_cheap(documents):
+    """A word that other documents use is no secret; one seen only as a value, however often, is."""
+    texts = [f"login: {w}" for w in WORDS_IN_USE] + ["this was " + " and ".join(WORDS_IN_USE)] * 2 + ["password: vkqzjwxbtrm"] * 3 + [f"token: {WORDS_IN_USE[0]}Zq7$kfLw2x", None, ""]
+    got = {r["key"]: [texts[r["key"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "guess"] for r in secret_scan.scan(documents(texts)).collect()}
+    want = {i: [] for i in range(len(texts))} | {8: ["vkqzjwxbtrm"], 9: ["vkqzjwxbtrm"], 10: ["vkqzjwxbtrm"], 11: ["successfulZq7$kfLw2x"]}
+    assert got == want
+    few = {r["key"] for r in secret_scan.scan(documents(texts[:6] + texts[8:])).collect() if any(s["kind"] == "guess" for s in r["spans"])}
+    assert few == {0, 1, 2, 3, 4, 5, 6, 7, 8, 9}  # without the documents that use the words
+
+
+def all_segmentations(value, ranks):
+    """The cheapest of every way to cut a value into words and brute-force spans."""
+    best = math.inf
+    for cuts in range(1 << (len(value) - 1)):
+        ends = [i + 1 for i in range(len(value) - 1) if cuts >> i & 1] + [len(value)]
+        total = 0.0
+        for start, end in zip([0, *ends], ends, strict=False):
+            piece, forms = value[start:end], []
+            low = piece.lower()
+            for word, extra in ((low, 0.0), (low.translate(str.maketrans("013457@$!", "oieastasi")), 0.3)):
+                if word in ranks and len(word) >= 3:
+                    forms.append(math.log10(ranks[word] + 1) + extra + (0.3 if piece != low else 0))
+                    break
+            forms.append(sum(math.log10(10 if c.isdigit() else 26 if c.isalpha() else 33) for c in piece))
+            total += min(forms) + math.log10(2)
+        best = min(best, total)
+    return best
+
+
+def test_guess_costs_against_every_segmentation():
+    rng = random.Random(4)
+    ranks = {"cat": 1, "kite": 5, "tea": 40, "rote": 900, "catkin": 30}
+    for _ in range(150):
+        value = "".join(rng.sample(["Kite", "t3a", "r0te", "catkin", "%", "x", "q", "8"], rng.randrange(1, 4)))[:11]  # no repeats, which are cheaper
+        assert secret_scan.guess_cost(value, ranks, 6) == pytest.approx(all_segmentations(value, ranks)), value
+
+
 def plain_measures(text):
     words = WORDS.findall(text)
     three = collections.Counter(zip(words, words[1:], words[2:]))
