@@ -6,12 +6,12 @@ Around the hits, windows are extended to full length and compared; joined, the r
 
 Nothing is paired: a passage in a third of all documents costs one entry per occurrence. What moves between tasks is packed:
 documents are kept in compressed chunks on the shared folder, each chunk sends its probes as four bytes per word to the shard
-of their hash, and the shards answer with one bit per probe. Then the windows around hits go to shards by their 64-bit hash with
+of their hash, and the shards answer with one bit per probe. Then the windows around hits go to shards by their hash with
 document and place, and again one bit comes back: does this window start earlier elsewhere? Shards grow in number with the
-input, so the size of a task stays the same.
+input, so the size of a task stays the same. Windows are equal where two 64-bit hashes are, of different functions of their words.
 
 Null text has no words. A text under ``window`` words is kept whole. Rows that repeat a doc_id are the same document at the same
-places, hence no repeats of each other. An empty table gives an empty result. Columns other than key and text are not read.
+places, hence no repeats of each other; rows with a null doc_id are one such document, before all others. An empty table gives an empty result. Columns other than key and text are not read.
 """
 
 from __future__ import annotations
@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.scratch import stage
-from shelfmark.llm.words import WordHashes, hash_words, in_chunks, inside, owners, sums, windows
+from shelfmark.llm.words import WordHashes, hash_words, in_chunks, inside, mix, owners, sums, windows
 
 _CHUNK = 1 << 22  # bytes of text
 _SHARD = 1 << 22  # entries
+_NULL = -(1 << 63)  # stands for a null id inside chunks
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -47,7 +48,7 @@ def _chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
     def run(batches):
         task, number = TaskContext.get().partitionId(), 0
         for part, texts in in_chunks(batches, _CHUNK):
-            ids = np.array(part.column("key").to_pylist(), np.int64)
+            ids = np.array([_NULL if i is None else i for i in part.column("key").to_pylist()], np.int64)
             ends = np.cumsum([len(x) for x in texts], dtype=np.int64)
             words = sum(len(x.split()) for x in texts)
             row = [(task << 32) + number], [_pack(ids)], [_pack(ends)], [zstandard.ZstdCompressor(level=5).compress(b"".join(texts))], [words]
@@ -128,10 +129,10 @@ def _found_twice(e: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def _starts_earlier(e: dict[str, np.ndarray]) -> np.ndarray:
-    """Windows that are not the first of their hash by document and place."""
-    order = np.lexsort((e["place"], e["doc"], e["hashes"]))
-    hashes, docs, places = e["hashes"][order], e["doc"][order], e["place"][order]
-    new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+    """Windows that are not the first of their two hashes by document and place."""
+    order = np.lexsort((e["place"], e["doc"], e["second"], e["hashes"]))
+    hashes, second, docs, places = e["hashes"][order], e["second"][order], e["doc"][order], e["place"][order]
+    new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (second[1:] != second[:-1])])
     first = np.flatnonzero(new)[np.cumsum(new) - 1]
     flags = np.zeros(len(order), bool)
     flags[order] = (docs != docs[first]) | (places != places[first])
@@ -175,27 +176,28 @@ def remove_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text:
         full = full[before[full + window - block + 1] > before[full]]
         rolling = windows(hashes, window)[full] if len(full) else np.zeros(0, np.uint64)
         owner = owners(starts)[full] if len(full) else np.zeros(0, np.int64)
-        return ids, texts, starts, rolling, owner, full
+        return ids, texts, hashes, starts, rolling, owner, full
 
     def send_windows(batches):
         known = WordHashes()
         for row in _rows(batches):
-            ids, _, starts, rolling, owner, full = candidates(row, known)
+            ids, _, hashes, starts, rolling, owner, full = candidates(row, known)
+            second = windows(mix(hashes), window)[full] if len(full) else rolling
             order, begin = _deal(rolling, shards)
-            columns = [[], [], [], [], []]
+            columns = [[], [], [], [], [], []]
             for s in range(shards):
                 own = order[begin[s] : begin[s + 1]]
                 if len(own):
                     docs_of, places = ids[owner[own]], (full - starts[owner])[own]
-                    for c, v in zip(columns, (row["chunk"], s, _pack(rolling[own]), _pack(docs_of), _pack(places.astype("<i8"))), strict=True):
+                    for c, v in zip(columns, (row["chunk"], s, _pack(rolling[own]), _pack(second[own]), _pack(docs_of), _pack(places.astype("<i8"))), strict=True):
                         c.append(v)
-            types = pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["chunk", "shard", "hashes", "doc", "place"])
+            types = pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["chunk", "shard", "hashes", "second", "doc", "place"])
 
     def finish(batches):
         known = WordHashes()
         for row in _rows(batches):
-            ids, texts, starts, rolling, _, full = candidates(row, known)
+            ids, texts, _, starts, rolling, _, full = candidates(row, known)
             covered = np.zeros(int(starts[-1]) + 1, np.int64)
             again = full[_answers(row["again"], *_deal(rolling, shards))]
             np.add.at(covered, again, 1)
@@ -208,7 +210,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text:
                 if removed[i]:
                     parts = [w for w, out in zip(parts, gone[starts[i] : starts[i + 1]].tolist(), strict=True) if not out]
                 kept.append(b" ".join(parts))
-            columns = [pa.array(ids), pa.array(np.diff(starts)), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())]
+            columns = [pa.array(ids, mask=ids == _NULL), pa.array(np.diff(starts)), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())]
             sha = pa.array([hashlib.sha256(x).hexdigest() for x in kept])
             yield pa.RecordBatch.from_arrays([*columns, sha], ["key", "n_words", "n_removed", "kept", "kept_sha256"])
 
@@ -218,7 +220,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, key: str = "doc_id", text:
 
     probes = chunks.mapInArrow(send_probes, "chunk long, shard int, hashes binary, blocks binary")
     hits = stage(answered(probes, _answer_probes, "hits"), "hits")
-    around = chunks.join(hits, "chunk").mapInArrow(send_windows, "chunk long, shard int, hashes binary, doc binary, place binary")
+    around = chunks.join(hits, "chunk").mapInArrow(send_windows, "chunk long, shard int, hashes binary, second binary, doc binary, place binary")
     again = answered(around, _answer_windows, "again")
     both = chunks.join(hits, "chunk", "left").join(again, "chunk", "left")
     return both.mapInArrow(finish, "key long, n_words long, n_removed long, kept string, kept_sha256 string")
@@ -229,4 +231,4 @@ def _answer_probes(batches):
 
 
 def _answer_windows(batches):
-    return _by_shard(batches, _starts_earlier, {"hashes": "<u8", "doc": "<i8", "place": "<i8"})
+    return _by_shard(batches, _starts_earlier, {"hashes": "<u8", "second": "<u8", "doc": "<i8", "place": "<i8"})

@@ -56,5 +56,18 @@ def test_repeated_rows_are_one_document(documents):
     assert all(r["kept"] == ("" if r["key"] == 5 else text) for r in rows)
 
 
+def test_rows_with_a_null_id_are_the_first_document(documents):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = substring_dedup.remove_repeats(documents([(None, text, "s"), (None, text, "s"), (None, None, "s"), (-5, text, "s"), (4, "x " + text, "s")])).collect()
+    assert sorted((str(r["key"]), r["n_words"], r["n_removed"]) for r in rows) == [("-5", 30, 30), ("4", 31, 30), ("None", 0, 0), ("None", 30, 0), ("None", 30, 0)]
+
+
+def test_windows_differ_where_one_of_two_hashes_does():
+    import numpy as np
+
+    entries = {"hashes": np.array([7, 7, 7, 9], np.uint64), "second": np.array([1, 2, 1, 1], np.uint64), "doc": np.array([3, 4, 5, 6]), "place": np.array([0, 0, 0, 0])}
+    assert substring_dedup._starts_earlier(entries).tolist() == [False, False, True, False]
+
+
 def test_empty_table(documents):
     assert got(documents(["x"]).filter("false")) == {}
