@@ -12,7 +12,8 @@ pages per host is one aggregate, combined before its shuffle. Pages of a host wi
 template. A host's template is at most a few tokens for each token of a page (each stands on most pages).
 
 Null html or html without text gives the empty string; a null or odd url has no host and no template. Repeated rows give equal
-rows. Broken markup is read as far as it goes: unclosed elements end with their parent. An empty table gives an empty result.
+rows. Broken markup is read as far as it goes: unclosed elements end with their parent, and
+from a tag without its closing bracket on the rest of a page is text, so a scan is linear. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 from shelfmark.llm.scratch import stage
 from shelfmark.llm.words import in_chunks
 
-#: Comments, declarations and tags; quoted values may hold a closing bracket.
+#: Comments, declarations and tags; quoted values may hold a closing bracket. The last group is a tag that never ends.
 _MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/><]*)((?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)>",
+    r"|<(/?)([A-Za-z][^\s/><]*)((?:[^>\"'=]|=\s*\"[^\"]*\"|=\s*'[^']*'|[=\"'])*+)>|(<)(?=/?[A-Za-z])",
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style|aria-modal|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.IGNORECASE)
@@ -137,12 +138,13 @@ def blocks_of(page: str) -> tuple[list[tuple[str, int, int]], set[int]]:
     while at < size:
         m = _MARKUP.search(page, at)
         now = stack[-1]
-        run = page[at : m.start() if m else size]
+        unended = m and m[4]  # no later one ends either, unless inside its quotes: looking on would take quadratic time
+        run = page[at : m.start() if m and not unended else size]
         if run and not now.left_out:
             if not pieces:
                 held = now
             pieces.append(html.unescape(run) if "&" in run else run)
-        if not m:
+        if not m or unended:
             break
         at = m.end()
         if not m[2]:

@@ -1,6 +1,7 @@
 """Operator 1: markup cases by hand, templates against vectors that are built in full."""
 
 import collections
+import time
 
 import pytest
 
@@ -20,6 +21,13 @@ CASES = [
 ]
 
 
+@pytest.mark.parametrize("unit", ["<a ", "</a ", "<a b='>' ", '<a b=">" ', "<a =", "<!-", "<", "<p>", "<a b='", "<script>x</script "])
+def test_broken_markup_takes_linear_time(unit):
+    start = time.perf_counter()
+    H.article("<p>text</p>" + unit * ((1 << 20) // len(unit)), None)
+    assert time.perf_counter() - start < 6
+
+
 @pytest.mark.parametrize("page,want", CASES)
 def test_article(page, want):
     assert H.article(page, None) == want
