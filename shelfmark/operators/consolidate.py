@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,23 +71,21 @@ def with_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Number rows 1..n in the given total order without a single-task sort.
 
     Rows are range-partitioned and sorted, then written to the shared checkpoint folder: that
-    fixes which row sits where, so a lost executor cannot renumber. The driver handles only one
-    row count per partition.
+    fixes which row sits where, so a lost executor cannot renumber. The driver sums one row count
+    per partition; the sums are a table of as many rows, which is broadcast.
     """
     ensure_checkpoint_dir(df.sparkSession)
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint(eager=True)
     numbered = placed.select(
         "*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at")
     )
-    counts = {r["__part"]: r["n"] for r in numbered.groupBy("__part").agg(F.count("*").alias("n")).collect()}
-    offsets, total = [], 0
-    for part in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(part, 0)
-    starts = ", ".join(f"{o}L" for o in offsets or [0])
+    counts = sorted((r["__part"], r["n"]) for r in numbered.groupBy("__part").agg(F.count("*").alias("n")).collect())
+    before = accumulate((n for _, n in counts), initial=0)
+    starts = [(part, total) for (part, _), total in zip(counts, before, strict=False)]
+    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "__part int, __before long"))
     # The low 33 bits of the increasing id count the rows of one partition.
-    number = F.expr(f"get(array({starts}), __part) + (__at & {(1 << 33) - 1}L) + 1")
-    return numbered.withColumn(name, number).drop("__part", "__at")
+    number = F.expr(f"__before + (__at & {(1 << 33) - 1}L) + 1")
+    return numbered.join(offsets, "__part").withColumn(name, number).drop("__part", "__at", "__before")
 
 
 def with_dense_ids(df: DataFrame, order: list[str], name: str = "Product_ID", prefix: str = "product_") -> DataFrame:
