@@ -7,11 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.bitmap import likely_in
 from shelfmark.functions.similarity import LONE_WEIGHT, cosine_general, cosine_of_sizes, cosine_of_terms, tokens_sql
 from shelfmark.functions.sqltext import Sql, each, let, var
 from shelfmark.functions.text import or_not_available
-from shelfmark.operators.consolidate import first_per_key, with_row_number
+from shelfmark.operators.consolidate import first_per_key
 from shelfmark.schema import CANDIDATE_RANKS
+from shelfmark.session import stored
 
 
 def candidate_array(ranks: list[int] = CANDIDATE_RANKS) -> Column:
@@ -59,30 +61,51 @@ def title_bag(title: str) -> Column:
     return F.expr(f"array_join(sort_array({tokens_sql(title)}), ' ')")
 
 
+def digest(bag: Sql) -> Sql:
+    """A bag by 32 bytes, so that joins do not move long texts."""
+    return f"unhex(sha2({bag}, 256))"
+
+
+_COUNTERS, _PER_LONG = 1 << 16, 8  # token frequencies by hash: counters of eight bits, eight times the logarithm of the count
+
+
+def _frequencies(bags: DataFrame) -> Sql:
+    """Logarithms of the document frequencies of tokens by hash, packed into a literal array of fixed size."""
+    at = each("transform", "split(bag, ' ')", lambda t: f"pmod(xxhash64({t}), {_COUNTERS}L)")
+    packed = [0] * (_COUNTERS // _PER_LONG)
+    for r in bags.selectExpr(f"explode(array_distinct({at})) AS at").groupBy("at").agg(F.count("*").alias("n")).collect():
+        packed[r["at"] // _PER_LONG] |= min(255, int(8 * math.log2(r["n"]))) << (8 * (r["at"] % _PER_LONG))
+    return f"CAST(split('{','.join(str(x - (x >> 63 << 64)) for x in packed)}', ',') AS ARRAY<BIGINT>)"
+
+
 def _number_bags(bags: DataFrame) -> DataFrame:
-    """Distinct bags with an id and their terms (token number, count), rare tokens first.
+    """Distinct bags with an id, a digest and their terms (token, count), rare tokens first; the text itself is not kept.
 
-    Tokens are numbered by document frequency, so that number is also the global order. A frequent
-    token makes a skewed key in the join with the vocabulary; adaptive execution splits that
-    partition. The result is written to the checkpoint folder: every step below reads it, and the
+    A token is its 64-bit hash. Terms are made inside the row: bags are sorted, so equal tokens are neighbours, and the
+    order by frequency comes from a table of fixed size, in which tokens share counters by hash. Any order that is one
+    for all bags gives the same pairs. The result is written to the checkpoint folder: every step below reads it, and the
     ids must not change on a retry.
     """
-    words = bags.select("bag", F.explode(F.split("bag", " ")).alias("token"))
-    counted = words.groupBy("bag", "token").agg(F.count("*").alias("tf"))
-    vocabulary = with_row_number(
-        counted.groupBy("token").agg(F.count("*").alias("df")), ["df", "token"], "token_id"
-    )
-    terms = counted.join(vocabulary, "token").groupBy("bag").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("token_id").alias("token"), "tf"))).alias("terms")
-    )
-    return (
-        bags.join(terms, "bag")
-        .select(
-            F.monotonically_increasing_id().alias("bag_id"), "bag", "is_record", "is_item", "item_key", "terms",
-            F.expr("aggregate(terms, 0L, (n, x) -> n + x.tf)").alias("length"),
-        )
-        .checkpoint()
-    )
+    counters = _frequencies(bags)
+    held = lambda h: f"get({counters}, CAST(pmod({h}, {_COUNTERS}L) div {_PER_LONG} AS INT))"
+    rank = lambda h: f"(shiftright({held(h)}, CAST(8 * ({h} & {_PER_LONG - 1}L) AS INT)) & 255L)"
+
+    def terms(xs: Sql) -> Sql:
+        i = var()
+        starts = f"filter(sequence(0, size({xs}) - 1), {i} -> {i} = 0 OR get({xs}, {i}) <> get({xs}, {i} - 1))"
+        x, j = var(), var()
+        return let(starts, lambda at: (
+            f"transform({at}, ({x}, {j}) -> named_struct('rank', {rank(f'get({xs}, {x})')}, 'token', get({xs}, {x}),"
+            f" 'tf', CAST(coalesce(get({at}, {j} + 1), size({xs})) - {x} AS BIGINT)))"
+        ))
+
+    hashed = f"sort_array({each('transform', "split(bag, ' ')", lambda t: f'coalesce(nullif(xxhash64({t}), 0L), 1L)')})"  # 0 is no token
+    ordered = each("transform", f"sort_array({let(hashed, terms)})", lambda x: f"named_struct('token', {x}.token, 'tf', {x}.tf)")
+    made = bags.selectExpr("*", f"{ordered} AS terms")
+    return stored(made.selectExpr(
+        "monotonically_increasing_id() AS bag_id", f"{digest('bag')} AS digest", "is_record", "is_item", "item_key", "terms",
+        "aggregate(terms, 0L, (n, x) -> n + x.tf) AS length",
+    ))
 
 
 def _share(threshold: float) -> float:
@@ -264,30 +287,38 @@ def _short_pairs(bags: DataFrame, threshold: float, longest: int, top: int) -> D
 
 def _reach(own: str, other: str) -> Sql:
     # The most that what is shared can add to one side's part of the score: its remaining squared counts, or as many of its
-    # largest counts as the other side has tokens left.
+    # largest counts as the other side has tokens left. Written out twice: a lambda would keep it out of compiled code.
     most = f"least({own}_rest, {other}_left * {own}_most)"
-    return let(most, lambda s: f"{s} / ({s} + ({own}_all - {s}) * {LONE_WEIGHT!r}D)")
+    return f"{most} / ({most} + ({own}_all - {most}) * {LONE_WEIGHT!r}D)"
 
 
 def _long_pairs(bags: DataFrame, threshold: float, longest: int) -> DataFrame:
     # Pairs with a long side: single-token keys carry ids and what is left of the text from that token on. Where a pair meets
     # first, all it shares lies from there on, so the bound of the score holds there; pairs under it never get their texts.
     # Each token before counts for one or more.
-    keyed = bags.selectExpr(
+    # In two steps: beside a generator, the sums would be made once per key.
+    summed = bags.selectExpr(
         "bag_id", "is_record", "is_item", f"length > {longest} AS is_long", "size(terms) AS n",
         "array_max(transform(terms, x -> x.tf * x.tf)) AS most", "aggregate(terms, 0L, (n, x) -> n + x.tf * x.tf) AS whole",
-        f"posexplode({_token_keys(threshold)}) AS (at, key)",
+        f"{_token_keys(threshold)} AS keys",
     )
+    keyed = summed.selectExpr("bag_id", "is_record", "is_item", "is_long", "n", "most", "whole", "posexplode(keys) AS (at, key)")
 
     def side(rows: DataFrame, name: str) -> DataFrame:
         return rows.selectExpr(
-            "key", f"bag_id AS {name}_bag", f"is_long AS {name}_is_long", f"n - at AS {name}_left", f"most AS {name}_most",
+            "key", f"bag_id AS {name}_bag", f"n - at AS {name}_left", f"most AS {name}_most",
             f"whole AS {name}_all", f"whole - at AS {name}_rest",
         )
 
-    bound = f"sqrt({_reach('record', 'item')} * {_reach('item', 'record')}) >= {threshold - 1e-9!r}D"
-    met = side(keyed.filter("is_record"), "record").join(side(keyed.filter("is_item"), "item"), "key")
-    met = met.filter("(record_is_long OR item_is_long)").filter(bound).select("record_bag", "item_bag").distinct()
+    def meet(records: DataFrame, items: DataFrame) -> DataFrame:
+        # keys that no record has never leave their task
+        items = likely_in(items, F.xxhash64("key"), records, F.xxhash64("key"))
+        return side(records, "record").join(side(items, "item"), "key").filter(bound).select("record_bag", "item_bag")
+
+    bound = f"{_reach('record', 'item')} * ({_reach('item', 'record')}) >= {max(threshold - 1e-9, 0) ** 2!r}D"
+    records, items = keyed.filter("is_record"), keyed.filter("is_item")
+    # two joins, since in one all pairs of short texts would meet as well
+    met = meet(records.filter("is_long"), items).unionByName(meet(records.filter("NOT is_long"), items.filter("is_long"))).distinct()
     text = (
         "named_struct('tokens', transform(terms, x -> x.token), 'tf', transform(terms, x -> x.tf),"
         " 'whole', aggregate(terms, 0L, (n, x) -> n + x.tf * x.tf))"
@@ -320,6 +351,7 @@ def retrieve(
     """
     rec = records.select("id", title_bag("title").alias("bag")).filter("bag != ''")
     items = catalog.select("key", "url", "title", title_bag("title").alias("bag")).filter("bag != ''")
+    digested = lambda df: df.withColumn("digest", F.expr(digest("bag"))).drop("bag")
     sides = rec.select("bag", F.lit(True).alias("r"), F.lit(False).alias("i")).unionByName(
         items.select("bag", "key", F.lit(False).alias("r"), F.lit(True).alias("i")), allowMissingColumns=True
     )
@@ -328,10 +360,10 @@ def retrieve(
     ))
     pairs = similar_bags(bags, threshold, longest, top)
     # No record can use more than the first `top` items of one bag.
-    firsts = first_per_key(items, ["bag"], ["key"], top)
-    firsts = firsts.join(bags.filter("is_item").selectExpr("bag", "bag_id AS item_bag"), "bag").drop("bag")
+    firsts = first_per_key(digested(items), ["digest"], ["key"], top)
+    firsts = firsts.join(bags.filter("is_item").selectExpr("digest", "bag_id AS item_bag"), "digest").drop("digest")
     by_score = F.round("similarity", 9).desc()  # equal scores can differ in their last bits
     ranked = first_per_key(pairs.join(firsts, "item_bag"), ["record_bag"], [by_score, "key"], top, rank_name="rank")
     # The results go back to their bag first, so that the records move only once.
-    named = ranked.join(bags.filter("is_record").selectExpr("bag", "bag_id AS record_bag"), "record_bag")
-    return rec.join(named, "bag").select("id", "rank", "key", "url", "title", "similarity")
+    named = ranked.join(bags.filter("is_record").selectExpr("digest", "bag_id AS record_bag"), "record_bag")
+    return digested(rec).join(named, "digest").select("id", "rank", "key", "url", "title", "similarity")

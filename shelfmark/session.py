@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "shelfmark", **conf: str) -> SparkSession:
@@ -39,3 +40,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(shared)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` once, compressed, to the checkpoint folder and return the written rows: a retry cannot change them."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -132,6 +132,27 @@ def test_long_texts_make_few_pairs(spark, monkeypatch):
     assert pairs_made(spark, monkeypatch, records, items, step="_long_pairs") < 0.1 * 80 * 100
 
 
+def test_numbered_bags_hold_terms_and_no_text(spark):
+    """Each token of a long text used to carry the whole text into a shuffle, and the text stayed with the terms."""
+    bags = spark.createDataFrame([("a a b c", True, False, 1), ("a b", False, True, 2), ("a", True, True, 3)], "bag string, is_record boolean, is_item boolean, item_key int")
+    numbered = candidates._number_bags(bags)
+    assert "bag" not in numbered.columns
+    hashes = spark.range(1).selectExpr("xxhash64('a') AS a", "xxhash64('b') AS b", "xxhash64('c') AS c").first()
+    got = {r.item_key: ([(t.token, t.tf) for t in r.terms], r.length) for r in numbered.collect()}
+    assert got == {1: ([(hashes.c, 1), (hashes.b, 1), (hashes.a, 2)], 4), 2: ([(hashes.b, 1), (hashes.a, 1)], 2), 3: ([(hashes.a, 1)], 1)}
+    assert numbered.select("bag_id").distinct().count() == 3
+
+
+def test_short_texts_do_not_meet_by_single_tokens(spark, monkeypatch):
+    """Where no text is long, the join for long texts gets no rows; all short texts with a common token used to meet there."""
+    left = [(i, f"acme steel widget no{i}") for i in range(50)]
+    seen = []
+    whole = candidates.likely_in
+    monkeypatch.setattr(candidates, "likely_in", lambda rows, h, keys, k: seen.append((rows, keys)) or whole(rows, h, keys, k))
+    check_retrieval(spark, left, left)
+    assert [rows.isEmpty() or keys.isEmpty() for rows, keys in seen] == [True, True]
+
+
 WIDE = "id string, serial_number string, input_title string, " + ", ".join(
     f"url_{r} string, url_{r}_title string" for r in range(1, 6)
 ) + ", scraped_date string"
