@@ -225,11 +225,12 @@ def _top_pairs(left: DataFrame, right: DataFrame, least: Sql, top: int) -> DataF
     pairs = ["record_bag", "item_bag"]
     found = None
     while True:
-        crowded = _crowded(left, right).checkpoint()
+        left, right = stored(left), stored(right)  # each is read several times below, and places take long to make
+        crowded = stored(_crowded(left, right))
         if crowded.isEmpty():
             met = left.join(right, _PLACE).selectExpr(*pairs, _scored_where(_PREFIX))
             return met if found is None else found.unionByName(met)
-        sides = [rows.join(crowded, _PLACE).checkpoint() for rows in (left, right)]
+        sides = [stored(rows.join(crowded, _PLACE)) for rows in (left, right)]
         rest = [rows.join(crowded, _PLACE, "left_anti") for rows in (left, right)]
         met = rest[0].join(rest[1], _PLACE).selectExpr(*pairs, _scored_where(_PREFIX))
         lowest = first_per_key(sides[1], _PLACE, ["item_key", "item_bag"], top)
@@ -257,6 +258,9 @@ def _short_pairs(bags: DataFrame, threshold: float, longest: int, top: int) -> D
     # Keyed by token pairs and scored in the join. A pair meets under several keys but is scored
     # only under its rarest shared tokens, and is 0 elsewhere, so no distinct is needed.
     words = "flatten(transform(terms, x -> array_repeat(x.token, CAST(x.tf AS INT)))) AS words"
+    # spread out: a few MB of titles, one split of a file, make many keys
+    spark = bags.sparkSession
+    bags = bags.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     bags = bags.selectExpr("bag_id", "is_record", "is_item", "item_key", "terms", words, "size(terms) = length AS plain")
 
     def keyed(rows: DataFrame, side: str, keys: Sql) -> DataFrame:

@@ -153,6 +153,16 @@ def test_short_texts_do_not_meet_by_single_tokens(spark, monkeypatch):
     assert [rows.isEmpty() or keys.isEmpty() for rows, keys in seen] == [True, True]
 
 
+def test_places_are_made_once(spark, monkeypatch):
+    """The keys of titles used to be made anew for each of the three reads of a round."""
+    plans = []
+    whole = candidates._crowded
+    monkeypatch.setattr(candidates, "_crowded", lambda *sides: plans.extend(x._jdf.queryExecution().executedPlan().toString() for x in sides) or whole(*sides))
+    titles = [(i, f"acme steel widget blue no{i}") for i in range(100)]
+    check_retrieval(spark, titles, titles)
+    assert len(plans) >= 4 and not any("Generate" in p for p in plans)
+
+
 WIDE = "id string, serial_number string, input_title string, " + ", ".join(
     f"url_{r} string, url_{r}_title string" for r in range(1, 6)
 ) + ", scraped_date string"
