@@ -86,24 +86,35 @@ def tfidf_cosine(a: str, b: str) -> Column:
     return F.expr(cosine_sql(a, b))
 
 
+def _run_sums(xs: Sql) -> Sql:
+    # From sorted token hashes whose last bit is the side: runs of equal values are counts, and a token's two runs are neighbours.
+    i, s, j, r, k, acc, y = (var() for _ in range(7))
+    starts = f"filter(sequence(0, size({xs}) - 1), {i} -> {i} = 0 OR get({xs}, {i}) <> get({xs}, {i} - 1))"
+    runs = lambda at: f"transform({at}, ({s}, {j}) -> named_struct('x', get({xs}, {s}), 'n', CAST(coalesce(get({at}, {j} + 1), size({xs})) - {s} AS BIGINT)))"
+    other = lambda rs, side, step: f"IF(get({rs}, {k} {side} 1).x = {r}.x {step} 1L, get({rs}, {k} {side} 1).n, 0L)"
+    paired = lambda rs: (
+        f"transform({rs}, ({r}, {k}) -> IF(({r}.x & 1L) = 0L, named_struct('a', {r}.n, 'b', {other(rs, '+', '+')}, 'own', 1L),"
+        f" named_struct('a', {other(rs, '-', '-')}, 'b', {r}.n, 'own', 0L)))"
+    )
+    sums = lambda ps: (
+        f"aggregate({ps}, named_struct('dot', 0L, 'sq_a', 0L, 'shared_a', 0L, 'sq_b', 0L, 'shared_b', 0L), ({acc}, {y}) -> named_struct("
+        f"'dot', {acc}.dot + {y}.own * {y}.a * {y}.b, 'sq_a', {acc}.sq_a + {y}.own * {y}.a * {y}.a,"
+        f" 'shared_a', {acc}.shared_a + IF({y}.b > 0, {y}.own * {y}.a * {y}.a, 0L), 'sq_b', {acc}.sq_b + (1L - {y}.own) * {y}.b * {y}.b,"
+        f" 'shared_b', {acc}.shared_b + IF({y}.a > 0, (1L - {y}.own) * {y}.b * {y}.b, 0L)))"
+    )
+    return let(starts, lambda at: let(runs(at), lambda rs: sums(paired(rs))))
+
+
 def score_long_pairs(pairs: DataFrame, keys: list[str], left: Sql, right: Sql, score: str = "similarity") -> DataFrame:
-    """Score one pair of texts per row; returns ``keys`` and the score.
+    """Score one pair of texts per row; returns ``keys`` and the score. Rows of equal keys are one pair.
 
-    ``left`` and ``right`` give the token arrays and are evaluated after the rows have moved, once,
-    by pair key; both aggregates reuse that partitioning. Linear in the text length.
+    ``left`` and ``right`` give the token arrays and are evaluated after the rows have moved, once, by pair key. From there on a
+    token is 63 bits of its hash, and a pair is counted inside its row: a task holds eight bytes per token and no table of
+    tokens. Linear in the text length but for one sort of the hashes.
     """
-    counts = (
-        pairs.repartition(*keys)
-        .selectExpr(*keys, f"{left} AS a", f"{right} AS b")
-        .selectExpr(*keys, "size(a) AS own", "posexplode_outer(concat(a, b)) AS (at, token)")
-        .groupBy(*keys, "token")
-        .agg(F.expr("count_if(at < own)").alias("a"), F.expr("count_if(at >= own)").alias("b"))
-    )
-    sums = counts.groupBy(*keys).agg(
-        F.expr("sum(a * b)").alias("dot"),
-        F.expr("sum(a * a)").alias("sq_a"),
-        F.expr("sum(b * b)").alias("sq_b"),
-        F.expr("sum(IF(b > 0, a * a, 0))").alias("shared_a"),
-        F.expr("sum(IF(a > 0, b * b, 0))").alias("shared_b"),
-    )
-    return sums.select(*keys, F.expr(_cosine_sql("dot", "sq_a", "shared_a", "sq_b", "shared_b")).alias(score))
+    hashes = lambda tokens, side: each("transform", tokens, lambda t: f"xxhash64({t}) {side}")
+    both = f"coalesce(concat({hashes(left, '& -2L')}, {hashes(right, '| 1L')}), CAST(array() AS ARRAY<BIGINT>))"
+    moved = pairs.repartition(*keys).selectExpr(*keys, f"{both} AS __hashes")
+    joined = moved.groupBy(*keys).agg(F.expr("flatten(collect_list(__hashes))").alias("__hashes"))
+    value = let("sort_array(__hashes)", lambda xs: let(_run_sums(xs), lambda n: _cosine_sql(f"{n}.dot", f"{n}.sq_a", f"{n}.shared_a", f"{n}.sq_b", f"{n}.shared_b")))
+    return joined.select(*keys, F.expr(f"CASE WHEN size(__hashes) = 0 THEN 0D ELSE {value} END").alias(score))

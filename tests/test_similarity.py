@@ -163,6 +163,18 @@ def test_places_are_made_once(spark, monkeypatch):
     assert len(plans) >= 4 and not any("Generate" in p for p in plans)
 
 
+def test_long_pairs_hold_no_table_of_tokens(spark):
+    """Repeats on either side, empty and null texts, and rows of one key, which are one pair; tokens never become rows."""
+    rows = [(1, "a a b c", "a b b d"), (2, "a", "b"), (3, "", ""), (4, None, "a"), (5, "x y", "x y"), (6, "a b", "a"), (6, "c", "b c c"), (None, "a", "a b")]
+    df = spark.createDataFrame(rows, "k int, x string, y string")
+    scored = score_long_pairs(df, ["k"], "filter(split(x, ' '), t -> t <> '')", "filter(split(y, ' '), t -> t <> '')")
+    assert "Generate" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = {r.k: r.similarity for r in scored.collect()}
+    want = {1: ("aa aa bb cc", "aa bb bb dd"), 2: ("aa", "bb"), 5: ("xx yy", "xx yy"), 6: ("aa bb cc", "aa bb cc cc"), None: ("aa", "aa bb")}
+    assert set(got) == {*want, 3, 4} and got[3] == got[4] == 0.0
+    assert all(abs(got[k] - cosine(*w)) < 1e-9 for k, w in want.items())
+
+
 WIDE = "id string, serial_number string, input_title string, " + ", ".join(
     f"url_{r} string, url_{r}_title string" for r in range(1, 6)
 ) + ", scraped_date string"
