@@ -51,8 +51,9 @@ def best_of(scored: Column) -> Column:
 def best_candidate(scored: DataFrame, key: str = "id") -> DataFrame:
     """The same choice over long rows ``key, rank, url, similarity``."""
     score = F.round("similarity", TIE_DIGITS)
-    best = F.max(F.struct(score.alias("score"), (-F.col("rank")).alias("order"), "url", "similarity"))
-    return scored.filter("similarity > 0").groupBy(key).agg(best.alias("b")).select(
+    # chosen inside the aggregate: a filter would move below the scoring, which would then be made again for each mention
+    entry = F.when(F.col("similarity") > 0, F.struct(score.alias("score"), (-F.col("rank")).alias("order"), "url", "similarity"))
+    return scored.groupBy(key).agg(F.max(entry).alias("b")).filter("b IS NOT NULL").select(
         key, F.col("b.url").alias("best_url"), F.col("b.similarity").alias("best_similarity")
     )
 
@@ -101,9 +102,8 @@ def similarity_table(wide: DataFrame, as_of: str, stop_words: list[str] | None =
 def score_long(records: DataFrame, candidates: DataFrame, key: str = "id") -> DataFrame:
     """Scores of long candidate rows: ``key, rank, url, similarity`` with unscored rows dropped."""
     titled = candidates.filter(F.col("title") != "")
-    joined = titled.join(records.select(key, "input_title"), key).withColumns({
-        "__a": tokens("input_title"), "__b": tokens("title")
-    })
+    # a record's title is taken apart once, not once per candidate
+    joined = titled.join(records.select(key, tokens("input_title").alias("__a")), key).withColumn("__b", tokens("title"))
     return joined.select(key, "rank", "url", tfidf_cosine("__a", "__b").alias("similarity"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.similarity import score_long_pairs, tfidf_cosine, tokens
 from shelfmark.operators import candidates
 from shelfmark.operators.candidates import retrieve
+from shelfmark.operators.matching import best_candidate, long_scores_of_wide
 from shelfmark.operators.matching import augment, match_wide, similarity_table
 
 
@@ -175,6 +176,16 @@ def test_long_pairs_hold_no_table_of_tokens(spark):
     assert all(abs(got[k] - cosine(*w)) < 1e-9 for k, w in want.items())
 
 
+def test_best_candidate_scores_each_pair_once(spark):
+    """A filter on the score used to move below the scoring, which was then made again in it."""
+    df = wide(spark, ("red tea", ["tea red", "blue", None]), ("red", ["blue"]), ("", ["blue"]))
+    best = best_candidate(long_scores_of_wide(df))
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("array_intersect" in line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Filter"))
+    assert sum("array_intersect" in line for line in plan.splitlines()) == 1
+    assert [tuple(r) for r in best.collect()] == [("0", "u1", 1.0)]
+
+
 WIDE = "id string, serial_number string, input_title string, " + ", ".join(
     f"url_{r} string, url_{r}_title string" for r in range(1, 6)
 ) + ", scraped_date string"
