@@ -393,10 +393,11 @@ def barcode(markup: Sql) -> Sql:
     return empty_to_null(f"coalesce({table}, {found})")
 
 
-def result_blocks(markup: Sql) -> Sql:
-    """Search results in all slots of a page, in order: an array of link targets, brand and title, each from inside its block.
+def result_blocks(markup: Sql, early: bool = False) -> Sql:
+    """Search results in all slots of a page, in order: an array of ``href``, ``brand`` and ``title``, each from inside its block.
 
-    ``*_early`` hold the earlier variant's looser link and title rules.
+    ``early`` takes the earlier variant's looser link and title rules. Only the rules asked for are evaluated: nothing below would
+    drop the fields of a struct that is made in a lambda.
     """
     block = by_attribute("div", "data-component-type", "s-search-result")
     span, h2, link = any_tag("span"), any_tag("h2"), any_tag("a")
@@ -409,18 +410,16 @@ def result_blocks(markup: Sql) -> Sql:
         return f"get({each('filter', links, lambda tag: f'{tag} <> {chr(39) * 2}')}, 0)"
 
     def fields(piece: Sql) -> Sql:
-        exact = f"regexp_extract({piece}, {raw(by_classes('a', RESULT_LINK_CLASSES))}, 0)"
-        loose = let(
-            f"regexp_extract({piece}, {raw(by_classes('a', RESULT_LINK_CLASSES_EARLY))}, 0)",
-            lambda tag: f"CASE WHEN {tag} <> '' THEN {tag} ELSE {first_link(piece)} END",
-        )
-        named = first_below(piece, by_attribute("h2", "aria-label"), span)
-        linked = joined_strings(inner(first_below_markup(piece, h2, link), span), "")
+        tag = f"regexp_extract({piece}, {raw(by_classes('a', RESULT_LINK_CLASSES))}, 0)"
+        title = first_below(piece, by_attribute("h2", "aria-label"), span)
+        if early:
+            tag = let(
+                f"regexp_extract({piece}, {raw(by_classes('a', RESULT_LINK_CLASSES_EARLY))}, 0)",
+                lambda tag: f"CASE WHEN {tag} <> '' THEN {tag} ELSE {first_link(piece)} END",
+            )
+            title = f"coalesce({title}, {joined_strings(inner(first_below_markup(piece, h2, link), span), '')})"
         brand = first_below(piece, by_classes("h2", ["a-size-mini"]), by_classes("span", BRAND_CLASSES))
-        return (
-            f"named_struct('href', {attribute(exact, 'href')}, 'href_early', {attribute(loose, 'href')},"
-            f" 'brand', {brand}, 'title', {named}, 'title_early', coalesce({named}, {linked}))"
-        )
+        return f"named_struct('href', {attribute(tag, 'href')}, 'brand', {brand}, 'title', {title})"
 
     def inside(markup: Sql, tag: str, body: Callable[[Sql], Sql]) -> Sql:
         # The body of each element of that tag, up to its own end.

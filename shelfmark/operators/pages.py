@@ -126,13 +126,12 @@ def search_results(pages: DataFrame, key: str, site: str = SITE, early: bool = F
     The earlier variant uses looser selectors and drops the query string of site links.
     """
     live = pages.select(key, F.expr(H.visible_markup("html")).alias("__markup"))
-    rows = live.select(key, F.posexplode(F.expr(H.result_blocks("__markup"))).alias("position", "r"))
+    rows = live.select(key, F.posexplode(F.expr(H.result_blocks("__markup", early))).alias("position", "r"))
     if early:
-        url = path_without_query(F.col("r.href_early"), site)
-        title = brand_and_title(F.col("r.brand"), F.col("r.title_early"))
+        url = path_without_query(F.col("r.href"), site)
     else:
         url = absolute_url(F.col("r.href"), site)
-        title = brand_and_title(F.col("r.brand"), F.col("r.title"))
+    title = brand_and_title(F.col("r.brand"), F.col("r.title"))
     return rows.select(key, "position", url.alias("url"), title.alias("title"))
 
 
