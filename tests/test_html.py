@@ -200,7 +200,7 @@ def test_pages_stay_in_the_jvm(spark):
 
 def test_each_variant_of_results_evaluates_only_its_own_rules():
     """The looser link rule and a second look for each title used to run for every block, whichever variant was asked for."""
-    early, named = H.by_classes("a", H.RESULT_LINK_CLASSES_EARLY), H.by_attribute("h2", "aria-label")
+    early = H.raw(H.by_classes("a", H.RESULT_LINK_CLASSES_EARLY))
     assert early not in H.result_blocks("m") and early in H.result_blocks("m", early=True)
-    assert H.result_blocks("m").count(named) == H.result_blocks("m", early=True).count(named)
+    assert H.result_blocks("m").count("aria-label") == H.result_blocks("m", early=True).count("aria-label") > 0
     assert not any("early" in H.result_blocks("m", early=x) for x in (False, True))
